@@ -40,7 +40,9 @@ def sized_lookup(
     """
     small = lookup if materialized else materialize(lookup)
     fits = small.count() <= max_broadcast_rows
-    return (F.broadcast(small) if fits else small), fits
+    # Above the bound the join is pinned to sort-merge, so Spark's own size
+    # estimate cannot broadcast what the count ruled out.
+    return (F.broadcast(small) if fits else small.hint("merge")), fits
 
 
 def lookup_join(

@@ -94,6 +94,18 @@ JOBS: dict[str, Job] = {
 }
 
 
+def observed_rows(obs: Observation, source: DataFrame) -> int:
+    """Row count observed on ``source`` during the job.
+
+    When AQE finds an empty shuffle it drops the plan below it, metrics node
+    included; only then is the (empty or tiny) input counted directly.
+    """
+    try:
+        return int(obs.get["rows"])
+    except Exception:
+        return source.count()
+
+
 def resolve_run_id(run_id: str | None) -> str:
     """The run id, or a UTC fallback when it is missing, blank or ``none``."""
     if run_id is None or not run_id.strip() or run_id.strip().lower() == "none":
@@ -130,7 +142,7 @@ def run_job(
         observed = source.observe(obs_in, F.count(F.lit(1)).alias("rows"))
         result = job.build(observed, roles, **params)
         output_count = write_result(result, run_dir, single_file=job.single_file)
-        input_count = int(obs_in.get["rows"])
+        input_count = observed_rows(obs_in, source)
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", input_count, output_count, "SUCCESS")
         write_manifest(spark, record, run_dir)
         return record

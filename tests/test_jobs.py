@@ -1,0 +1,143 @@
+"""The four jobs end to end on CDR CSV files: results, manifests, failures."""
+
+import glob
+import json
+import os
+
+import pytest
+
+from callstats.plans.jobs import JOBS, resolve_run_id, run
+from callstats.schema import ANOMALY_SCHEMA, HEATMAP_SCHEMA, REVENUE_SCHEMA, TOP_CALLERS_SCHEMA
+from callstats.sinks.manifest import check_manifests, read_manifests
+from callstats.sources.cdr import read_cdr, read_result
+
+HEADER = "caller_id,receiver_id,duration_sec,tower_id,timestamp,call_type,charge_amount"
+
+
+def write_csv(path, lines):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(HEADER + "\n")
+        for line in lines:
+            f.write(line + "\n")
+    return path
+
+
+@pytest.fixture()
+def cdr_file(tmp_path):
+    lines = []
+    # caller 7 (digits only): 11 calls, one far off -> one anomaly
+    for i in range(10):
+        lines.append(f"7,USER_2,100,TOWER_001,2023-10-01T0{i % 10}:00:00,VOICE,1.10")
+    lines.append("7,USER_2,9000,TOWER_001,2023-10-01T10:15:00.250000,VOICE,2.25")
+    # whale: many calls, planted outlier
+    for i in range(60):
+        lines.append(f"WHALE_CALLER_999,USER_3,{50 + i % 5},TOWER_002,2023-10-02T12:00:{i % 60:02d},SMS,0.10")
+    lines.append("WHALE_CALLER_999,USER_3,7000,TOWER_002,2023-10-02T13:00:00,SMS,0.10")
+    # bad rows: unparseable time, empty caller, bad duration
+    lines.append("USER_9,USER_1,60,TOWER_003,garbage,DATA,0.50")
+    lines.append(",USER_1,60,TOWER_003,2023-10-03T23:59:59,DATA,0.75")
+    lines.append("USER_8,USER_1,xx,TOWER_003,2023-10-03T01:00:00,DATA,0.25")
+    return write_csv(str(tmp_path / "cdr.csv"), lines)
+
+
+def test_read_cdr_keeps_digit_ids_as_strings(spark, cdr_file):
+    df = read_cdr(spark, cdr_file)
+    assert dict(df.dtypes)["caller_id"] == "string"
+    assert df.where("caller_id = '7'").count() == 11
+    assert df.where("caller_id is null").count() == 1
+    assert df.where("caller_id = 'USER_8'").first()["duration_sec"] is None
+
+
+def test_read_cdr_corrupt_column(spark, cdr_file):
+    df = read_cdr(spark, cdr_file, corrupt_column="_bad")
+    bad = [r["_bad"] for r in df.where("_bad is not null").collect()]
+    assert len(bad) == 1 and bad[0].startswith("USER_8,")
+
+
+def test_all_jobs_on_csv(spark, cdr_file, tmp_out):
+    m = run(spark, "top_callers", cdr_file, tmp_out, "r1")
+    assert m["status"] == "SUCCESS" and m["input_record_count"] == 75 and m["output_record_count"] == 5
+    top = read_result(spark, m["output_path"], TOP_CALLERS_SCHEMA).collect()
+    assert (top[0]["caller_id"], top[0]["total_spend"]) == ("7", 13.25)
+    assert [r["caller_id"] for r in top][1:] == ["WHALE_CALLER_999", None, "USER_9", "USER_8"]
+    assert len(glob.glob(os.path.join(m["output_path"], "part-*"))) == 1
+
+    m = run(spark, "tower_heatmap", cdr_file, tmp_out, "r1")
+    heat = {(r[0], r[1]): r[2] for r in read_result(spark, m["output_path"], HEATMAP_SCHEMA).collect()}
+    assert heat[("TOWER_002", 12)] == 60 and heat[("TOWER_002", 13)] == 1
+    assert heat[("TOWER_001", 10)] == 1 and heat[("TOWER_003", 23)] == 1
+    assert sum(heat.values()) == 74  # the 'garbage' time is dropped
+    assert m["output_record_count"] == len(heat)
+
+    m = run(spark, "anomalous_calls", cdr_file, tmp_out, "r1", heavy_threshold=50)
+    got = read_result(spark, m["output_path"], ANOMALY_SCHEMA).collect()
+    assert sorted((r["caller_id"], r["call_timestamp"], r["duration_sec"]) for r in got) == [
+        ("7", "2023-10-01T10:15:00.250000", 9000),
+        ("WHALE_CALLER_999", "2023-10-02T13:00:00", 7000),
+    ]
+    assert m["output_record_count"] == 2 and m["input_record_count"] == 75
+
+    m = run(spark, "revenue_recon", cdr_file, tmp_out, "r1")
+    (rev,) = read_result(spark, m["output_path"], REVENUE_SCHEMA).collect()
+    assert rev["total_revenue"] == pytest.approx(10 * 1.10 + 2.25 + 61 * 0.10 + 0.50 + 0.75 + 0.25)
+
+    checks = {r["job_name"]: r for r in check_manifests(spark, tmp_out).collect()}
+    assert set(checks) == {j.job_name for j in JOBS.values()}
+    assert all(r["ok"] for r in checks.values())
+
+
+def test_header_only_file(spark, tmp_path, tmp_out):
+    path = write_csv(str(tmp_path / "empty.csv"), [])
+    m = run(spark, "top_callers", path, tmp_out, "e")
+    assert (m["input_record_count"], m["output_record_count"]) == (0, 0)
+    m = run(spark, "revenue_recon", path, tmp_out, "e")
+    assert m["output_record_count"] == 1
+    rows = read_result(spark, m["output_path"], REVENUE_SCHEMA).collect()
+    assert [tuple(r) for r in rows] == [(None,)]
+    assert all(r["ok"] for r in check_manifests(spark, tmp_out).collect())
+
+
+def test_rerun_replaces_run_directory(spark, cdr_file, tmp_out):
+    m1 = run(spark, "top_callers", cdr_file, tmp_out, "same")
+    m2 = run(spark, "top_callers", cdr_file, tmp_out, "same")
+    assert m1["output_path"] == m2["output_path"]
+    assert len(glob.glob(os.path.join(m2["output_path"], "part-*"))) == 1
+    assert read_manifests(spark, tmp_out).count() == 1
+
+
+def test_missing_input_writes_failure_manifest(spark, tmp_out):
+    with pytest.raises(Exception):
+        run(spark, "top_callers", "/nonexistent/cdr.csv", tmp_out, "bad")
+    (m,) = read_manifests(spark, tmp_out).collect()
+    assert (m["status"], m["output_record_count"], m["run_id"]) == ("FAILURE", 0, "bad")
+    (c,) = check_manifests(spark, tmp_out).collect()
+    assert c["ok"] is False
+
+
+def test_manifest_json_fields(spark, cdr_file, tmp_out):
+    m = run(spark, "revenue_recon", cdr_file, tmp_out, "j")
+    (part,) = glob.glob(os.path.join(m["output_path"], "_MANIFEST", "part-*.json"))
+    with open(part, encoding="utf-8") as f:
+        rec = json.loads(f.readline())
+    assert list(rec) == [
+        "job_name",
+        "run_id",
+        "execution_timestamp_utc",
+        "input_path",
+        "output_path",
+        "input_record_count",
+        "output_record_count",
+        "status",
+    ]
+    assert rec["execution_timestamp_utc"].endswith("Z")
+
+
+def test_fallback_run_id():
+    for blank in (None, "", "  ", "None", "none"):
+        assert resolve_run_id(blank).endswith("_fallback")
+    assert resolve_run_id("abc") == "abc"
+
+
+def test_unknown_job(spark, tmp_out):
+    with pytest.raises(KeyError):
+        run(spark, "nope", "/x.csv", tmp_out, "r")
