@@ -1,7 +1,7 @@
 """Scalar column expressions (all JVM-side, codegen friendly)."""
 
 from callstats.functions.hashing import crc32_bucket
-from callstats.functions.money import MONEY_TYPE, exact_sum
+from callstats.functions.money import CENTS_PER_UNIT, cents, exact_sum
 from callstats.functions.time import (
     CDR_TIME_FORMATS,
     ISO_MICROS,
@@ -14,9 +14,10 @@ from callstats.functions.time import (
 __all__ = [
     "CDR_TIME_FORMATS",
     "ISO_MICROS",
-    "MONEY_TYPE",
+    "CENTS_PER_UNIT",
     "as_text",
     "as_timestamp",
+    "cents",
     "crc32_bucket",
     "exact_sum",
     "hour_of_day",

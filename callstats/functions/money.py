@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are summed as decimals with two places: exact, no float32 or double
-# drift, and the same total whatever order the partials arrive in.
-MONEY_TYPE = "decimal(18,2)"
+# Amounts are summed as whole cents in a 64-bit integer: exact (no float32 or
+# double drift), independent of the order partial sums arrive in, and all
+# native arithmetic. Each amount is first rounded to the nearest cent, which
+# is exact for two-decimal amounts up to about 10^13. A sum beyond 2^63 cents
+# fails under ANSI mode rather than wrapping.
+CENTS_PER_UNIT = 100
 
 
-def exact_sum(col: str | Column) -> Column:
-    """Sum of a money column, exact to the cent, returned as double."""
+def cents(col: str | Column) -> Column:
+    """Amount as a whole number of cents (long)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(MONEY_TYPE)).cast("double")
+    return F.rint(c * F.lit(CENTS_PER_UNIT)).cast("long")
+
+
+def exact_sum(col: str | Column) -> Column:
+    """Sum of a money column, exact to the cent, returned as double (the
+    double nearest the exact decimal total)."""
+    return F.sum(cents(col)) / F.lit(float(CENTS_PER_UNIT))

@@ -12,6 +12,15 @@ CDR_TIME_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss",
 )
 
+# Text lengths each layout can match when parsing (4-digit year, two-digit
+# fields, 1 to 6 fraction digits). A parse is only tried on text of such a
+# length: a failed parse costs a caught exception per row, and CDR text
+# usually has no fraction, so the first layout would fail on nearly every row.
+FORMAT_LENGTHS = {
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": (21, 26),
+    "yyyy-MM-dd'T'HH:mm:ss": (19, 19),
+}
+
 # Fixed value: layout of timestamps written as text in results.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -23,7 +32,15 @@ def parse_timestamp(col: str | Column, formats: tuple[str, ...] = CDR_TIME_FORMA
     Spark 4), where ``to_timestamp`` would fail the job on the first bad row.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    n = F.length(c)
+    attempts = []
+    for f in formats:
+        parsed = F.try_to_timestamp(c, F.lit(f))
+        if f in FORMAT_LENGTHS:
+            lo, hi = FORMAT_LENGTHS[f]
+            parsed = F.when(n.between(lo, hi), parsed)
+        attempts.append(parsed)
+    return F.coalesce(*attempts)
 
 
 def as_timestamp(df_type: T.DataType, col: str | Column) -> Column:

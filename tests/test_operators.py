@@ -134,6 +134,33 @@ def test_parse_timestamp_formats(spark):
     assert got == [12, 12, None, None, None, None]
 
 
+def test_length_guard_never_changes_a_parse(spark):
+    from callstats.functions.time import CDR_TIME_FORMATS
+
+    texts = [
+        "2023-10-01T12:34:56.25",
+        "2023-10-01T12:34:56.1",
+        "2023-10-01T12:34:56.1234567",
+        "2023-10-01T12:34:56.",
+        "999-10-01T12:34:56",
+        "2023-1-01T12:34:56",
+        "12023-10-01T12:34:56",
+        "2023-10-01T12:34:56",
+        "2023-10-01T12:34:56.123456",
+        " 2023-10-01T12:34:56",
+        "2023-10-01T12:34:56Z",
+        "2023-10-01T24:00:00",
+        "2023-02-30T12:00:00",
+        "",
+        None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(*[F.try_to_timestamp("t", F.lit(f)) for f in CDR_TIME_FORMATS])
+    rows = df.select(plain.alias("a"), parse_timestamp("t").alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows]
+    assert sum(r["b"] is not None for r in rows) == 4
+
+
 def test_key_bucket_matches_zlib(spark):
     keys = ["WHALE_CALLER_999", "USER_1", "USER_50000", "", "é"] + [f"USER_{i}" for i in range(200)]
     df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k string")
