@@ -24,17 +24,18 @@ def manifest_record(
     run_id: str,
     input_path: str,
     output_path: str,
-    input_count: int,
+    input_count: int | None,
     output_count: int,
     status: str,
 ) -> dict:
+    """One manifest; ``input_count`` is None where it is not known."""
     return {
         "job_name": job_name,
         "run_id": run_id,
         "execution_timestamp_utc": utc_now_iso(),
         "input_path": input_path,
         "output_path": output_path,
-        "input_record_count": int(input_count),
+        "input_record_count": None if input_count is None else int(input_count),
         "output_record_count": int(output_count),
         "status": status,
     }
