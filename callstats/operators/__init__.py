@@ -12,6 +12,7 @@ from callstats.operators.lookup import (
     DEFAULT_BROADCAST_ROWS,
     lookup_join,
     materialize,
+    materialize_counted,
     sized_lookup,
     stats_lookup,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "key_bucket",
     "lookup_join",
     "materialize",
+    "materialize_counted",
     "repartition_by_key",
     "sized_lookup",
     "stats_lookup",

@@ -14,7 +14,7 @@ distinct keys, so it is never broadcast blindly:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callstats.operators.aggregates import heavy_group_stats
@@ -30,6 +30,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize`` plus the row count, observed by the checkpoint job
+    itself (no extra pass). If AQE dropped the metrics node, as it does below
+    an empty shuffle, the checkpointed rows are counted instead.
+    """
+    shared_dir(df.sparkSession)
+    obs = Observation("materialized_rows")
+    saved = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    try:
+        return saved, int(obs.get["rows"])
+    except Exception:
+        return saved, saved.count()
+
+
 def sized_lookup(
     lookup: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialized: bool = False
 ) -> tuple[DataFrame, bool]:
@@ -39,8 +53,8 @@ def sized_lookup(
     shared folder. Returns the frame to join with and whether it was marked
     for broadcast.
     """
-    small = lookup if materialized else materialize(lookup)
-    fits = small.count() <= max_broadcast_rows
+    small, rows = (lookup, lookup.count()) if materialized else materialize_counted(lookup)
+    fits = rows <= max_broadcast_rows
     # Above the bound the join is pinned to sort-merge, so Spark's own size
     # estimate cannot broadcast what the count ruled out.
     return (F.broadcast(small) if fits else small.hint("merge")), fits

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callstats.functions.time import as_text, as_timestamp, hour_of_day
-from callstats.operators.aggregates import count_by, top_by_sum, total
+from callstats.operators.aggregates import top_by_sum, total
 from callstats.operators.outliers import zscore_outliers
 from callstats.schema import CDR_ROLES, Roles
 from callstats.sinks.manifest import manifest_record, write_manifest
@@ -34,10 +34,18 @@ def with_hour(df: DataFrame, roles: Roles = CDR_ROLES) -> DataFrame:
 
 
 def tower_heatmap(df: DataFrame, roles: Roles = CDR_ROLES) -> DataFrame:
-    """``tower_id, hour_of_day, call_count``; rows without a valid time are dropped."""
-    hours = with_hour(df.select(roles.tower, roles.timestamp), roles).where(F.col("hour_of_day").isNotNull())
-    counts = count_by(hours, [roles.tower, "hour_of_day"], "call_count")
-    return counts.select(F.col(roles.tower).alias("tower_id"), "hour_of_day", "call_count")
+    """``tower_id, hour_of_day, call_count``; rows without a valid time are dropped.
+
+    Rows are counted by ``count(hour_of_day)``, which skips NULL hours, so the
+    only group that can count 0 is the unparseable one and it is dropped after
+    the aggregate. A NULL filter before the aggregate would be pushed below
+    the projection and parse every timestamp twice.
+    """
+    hours = with_hour(df.select(roles.tower, roles.timestamp), roles)
+    counts = hours.groupBy(roles.tower, "hour_of_day").agg(F.count("hour_of_day").alias("call_count"))
+    return counts.where(F.col("call_count") > 0).select(
+        F.col(roles.tower).alias("tower_id"), "hour_of_day", "call_count"
+    )
 
 
 def anomalous_calls(

@@ -176,3 +176,11 @@ def test_repartition_by_key_places_every_row(spark):
     placed = key_bucket(repartition_by_key(df, "k"), "k").withColumn("pid", F.spark_partition_id())
     assert placed.rdd.getNumPartitions() == 20
     assert placed.where(F.col("pid") != F.col("bucket")).count() == 0
+
+
+@pytest.mark.parametrize("strategy", ["auto", "split"])
+def test_outliers_on_empty_and_candidate_free_input(spark, strategy):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert outlier_set(empty, strategy=strategy) == []
+    small = frame(spark, {"a": [1.0, 2.0, 900.0], "b": [3.0] * 5})
+    assert outlier_set(small, strategy=strategy) == []
