@@ -12,19 +12,23 @@ def write_result(df: DataFrame, uri: str, single_file: bool = False) -> int:
     """Write ``df`` as headerless CSV to ``uri`` (replacing it) and return its row count.
 
     The count is an ``observe`` metric of the write itself: no cache and no
-    second job. ``single_file`` gathers the rows into one part file with a
-    ``repartition(1)``, which keeps everything upstream parallel (a bare
-    ``coalesce(1)`` would pull the last stage into one task); use it for
-    bounded results only.
+    second job. It is attached last, so it sits in the result stage, whose
+    metric updates Spark applies once per partition even when tasks or stages
+    are re-run after an executor loss. ``single_file`` gathers the rows into
+    one part file with a ``repartition(1)``, which keeps everything upstream
+    parallel (a bare ``coalesce(1)`` would pull the last stage into one
+    task); use it for bounded results only.
     """
     obs = Observation("result_rows")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if single_file:
-        out = out.repartition(1)
+    out = df.repartition(1) if single_file else df
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
         out.write.mode("overwrite")
         .option("header", False)
         .option("nullValue", NULL_TEXT)
         .csv(uri)
     )
-    return int(obs.get["rows"])
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # metrics node planned away (empty input): count what was written
+        return df.sparkSession.read.text(uri).count()

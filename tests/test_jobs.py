@@ -141,3 +141,10 @@ def test_fallback_run_id():
 def test_unknown_job(spark, tmp_out):
     with pytest.raises(KeyError):
         run(spark, "nope", "/x.csv", tmp_out, "r")
+
+
+@pytest.mark.parametrize("mode", ["exact", "observe"])
+def test_input_count_modes(spark, cdr_file, tmp_out, mode):
+    for name in JOBS:
+        m = run(spark, name, cdr_file, tmp_out, f"c-{mode}", input_count=mode, **({"heavy_threshold": 50} if name == "anomalous_calls" else {}))
+        assert m["input_record_count"] == 75, name
