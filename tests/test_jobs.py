@@ -148,3 +148,13 @@ def test_input_count_modes(spark, cdr_file, tmp_out, mode):
     for name in JOBS:
         m = run(spark, name, cdr_file, tmp_out, f"c-{mode}", input_count=mode, **({"heavy_threshold": 50} if name == "anomalous_calls" else {}))
         assert m["input_record_count"] == 75, name
+
+
+def test_cli(spark, cdr_file, tmp_out, capsys):
+    from callstats.cli import main
+
+    m = main(["anomalous_calls", "cli1", cdr_file, "--output-base", tmp_out, "--heavy-threshold", "50", "--strategy", "split"])
+    assert m["status"] == "SUCCESS" and m["output_record_count"] == 2
+    assert '"job_name": "anomalous_call_detection"' in capsys.readouterr().out
+    m = main(["top_callers", "none", cdr_file, "--output-base", tmp_out, "--top", "2"])
+    assert m["run_id"].endswith("_fallback") and m["output_record_count"] == 2
