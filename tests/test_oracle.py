@@ -24,9 +24,8 @@ def test_query_matches_oracle(spark, sf, name):
     assert got == want
 
 
-def test_every_query_has_oracle_or_reason():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"key_bucket"}
+def test_every_query_has_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
