@@ -16,7 +16,7 @@ function would do for a hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, materialize, sized_lookup
@@ -82,13 +82,20 @@ def zscore_outliers(
         side, _ = sized_lookup(stats, max_broadcast_rows)
         return rows.join(side, key).where(_deviates(value, k)).select(*out_cols)
 
-    # split: stats of every key are materialised once; the heavy cut-off is
-    # raised until fewer than ``max_heavy_keys`` keys can pass it (keys above
-    # total / max_heavy_keys rows are fewer than max_heavy_keys), so the
-    # broadcast side has a proven bound whatever the data.
-    stats = materialize(_stats(rows, key, value))
-    total_rows = stats.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("t")).first()["t"]
-    cut = max(int(heavy_threshold), int(total_rows) // int(max_heavy_keys))
+    # split: the heavy cut-off is raised until fewer than ``max_heavy_keys``
+    # keys can pass it (keys above total / max_heavy_keys rows are fewer than
+    # max_heavy_keys), so the broadcast side has a proven bound whatever the
+    # data. The total is observed over all keys by the same job that
+    # materialises the stats of the keys that matter: candidates, and keys
+    # above the threshold (every key above the final cut is among them).
+    obs = Observation("split_total_rows")
+    all_stats = _stats(rows, key, value).observe(obs, F.sum("_rows").alias("t"))
+    stats = materialize(all_stats.where(_candidates(k) | (F.col("_rows") > F.lit(heavy_threshold))))
+    try:
+        total_rows = int(obs.get["t"] or 0)
+    except Exception:  # metrics planned away: the input was empty
+        total_rows = 0
+    cut = max(int(heavy_threshold), total_rows // int(max_heavy_keys))
     is_heavy = F.col("_rows") > F.lit(cut)
 
     heavy = stats.where(is_heavy)
