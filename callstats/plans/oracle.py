@@ -28,6 +28,57 @@ where s > 0 and abs(value - m) > 3 * s
 
 _TOP_ORDERS_ROWS = "least(100, (select count(distinct o_custkey) from orders))"
 
+# Jobs run on the CDR CSV derived from ``events`` (see plans/cdr_runs.py).
+_CDR = """cdr as (
+  select 'USER_' || user_id as caller_id, cast(floor(value) as int) as duration_sec,
+         event_type as tower_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as call_timestamp,
+         ts, value as charge_amount
+  from events
+)"""
+
+_CDR_TOP = f"""
+with {_CDR}
+select caller_id, cast(sum(cast(charge_amount as decimal(18,2))) as double) as total_spend
+from cdr group by caller_id
+order by total_spend desc nulls last, caller_id limit 100
+"""
+
+_CDR_HEATMAP = """
+select event_type as tower_id, cast(hour(ts) as int) as hour_of_day, count(*) as call_count
+from events group by 1, 2
+"""
+
+_CDR_ANOMALIES = f"""
+with {_CDR},
+st as (
+  select caller_id as c, avg(duration_sec) as m, stddev_samp(duration_sec) as s
+  from cdr group by caller_id
+)
+select caller_id, call_timestamp, duration_sec,
+       round(m, 2) as user_mean_duration, round(s, 2) as user_stddev
+from cdr join st on caller_id = c
+where s > 0 and abs(duration_sec - m) > 3 * s
+"""
+
+_CDR_REVENUE = """
+select cast(sum(cast(value as decimal(18,2))) as double) as total_revenue from events
+"""
+
+_CDR_MANIFESTS = f"""
+with counts as (
+  select 'top_callers_by_spend' as job_name, least(100, (select count(distinct user_id) from events)) as n
+  union all
+  select 'tower_utilization_heatmap', (select count(*) from ({_CDR_HEATMAP}))
+  union all
+  select 'anomalous_call_detection', (select count(*) from ({_CDR_ANOMALIES}))
+  union all
+  select 'revenue_reconciliation', 1
+)
+select job_name, 'r0' as run_id, (select count(*) from events) as input_record_count,
+       n as output_record_count, 'SUCCESS' as status, n as actual_rows, true as ok
+from counts
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_spend": """
 select o_custkey as caller_id,
@@ -115,4 +166,12 @@ select event_id, user_id as caller_id,
       4294967295::BIGINT), 4294967295) % 20 as int) as bucket
 from k
 """,
+    "job_top_callers": _CDR_TOP,
+    "job_tower_heatmap": _CDR_HEATMAP,
+    "job_anomalous_calls": _CDR_ANOMALIES,
+    "job_revenue_recon": _CDR_REVENUE,
+    "job_manifests": _CDR_MANIFESTS,
+    "stream_top_callers": _CDR_TOP,
+    "stream_tower_heatmap": _CDR_HEATMAP,
+    "stream_revenue_recon": _CDR_REVENUE,
 }

@@ -18,6 +18,7 @@ from callstats.functions.time import ISO_MICROS
 from callstats.operators.aggregates import group_stats, heavy_group_stats, heavy_hitters
 from callstats.operators.lookup import stats_lookup as stats_lookup_op
 from callstats.operators.partitioning import key_bucket as key_bucket_op
+from callstats.plans.cdr_runs import CDR_QUERIES
 from callstats.plans.jobs import (
     anomalous_calls,
     revenue_recon,
@@ -197,4 +198,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_manifest": run_manifest,
     "manifest_check": manifest_check,
     "key_bucket": key_bucket,
+    **CDR_QUERIES,
 }
