@@ -14,7 +14,7 @@ import sys
 if __package__ in (None, ""):  # run as a file by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from callstats.plans.jobs import JOBS, run  # noqa: E402
+from callstats.plans.jobs import INPUT_COUNTS, JOBS, run  # noqa: E402
 from callstats.session import build_session  # noqa: E402
 
 # Default input file and output folder of the job scripts.
@@ -29,7 +29,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("input_path", nargs="?", default=DEFAULT_INPUT)
     p.add_argument("--output-base", default=DEFAULT_OUTPUT)
     p.add_argument("--format", default=None, help="csv (default), parquet, json")
-    p.add_argument("--input-count", choices=("exact", "observe"), default="exact")
+    p.add_argument("--input-count", choices=INPUT_COUNTS, default="exact")
     p.add_argument("--top", type=int, default=None, help="top_callers: number of callers (100)")
     p.add_argument("--k", type=float, default=None, help="anomalous_calls: sigmas (3)")
     p.add_argument("--strategy", choices=("auto", "split"), default=None, help="anomalous_calls")

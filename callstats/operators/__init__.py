@@ -11,11 +11,10 @@ from callstats.operators.aggregates import (
 from callstats.operators.lookup import (
     DEFAULT_BROADCAST_ROWS,
     lookup_join,
-    materialize,
-    materialize_counted,
     sized_lookup,
     stats_lookup,
 )
+from callstats.operators.materialize import materialize, materialize_counted
 from callstats.operators.outliers import STRATEGIES, can_exceed, zscore_outliers
 from callstats.operators.partitioning import DEFAULT_BUCKETS, key_bucket, repartition_by_key
 from callstats.operators.projection import conform

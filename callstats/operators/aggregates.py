@@ -2,33 +2,71 @@
 
 All of them plan as partial (map-side) + final hash aggregates, so a key with a
 third of all rows still shuffles one row per map task, not its rows.
+
+``top_by_sum`` and ``total`` can also report how many input rows they read
+(``input_rows``, metric ``rows``). The count is carried by the aggregate itself
+(a per-group row count) and observed where Spark applies metric updates once
+per partition, even when tasks are re-run after an executor loss: in a result
+stage. So the input is read once, and the count is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callstats.functions.money import exact_sum
+from callstats.operators.materialize import materialize
+
+# Name of the per-group row count carried for ``input_rows``.
+ROWS_SEEN = "_rows_seen"
+
+
+def observe_rows_seen(df: DataFrame, input_rows: Observation) -> DataFrame:
+    """Attach ``input_rows`` as the sum of the per-group counts of ``df``."""
+    return df.observe(input_rows, F.coalesce(F.sum(ROWS_SEEN), F.lit(0)).alias("rows"))
 
 
 def top_by_sum(
-    df: DataFrame, key: str, value: str, n: int = 100, out_key: str | None = None, out_value: str = "total"
+    df: DataFrame,
+    key: str,
+    value: str,
+    n: int = 100,
+    out_key: str | None = None,
+    out_value: str = "total",
+    input_rows: Observation | None = None,
 ) -> DataFrame:
     """The ``n`` keys with the largest exact sum of ``value``.
 
     Ties are broken by key (ascending, NULL last) so the cut at rank ``n`` is
     deterministic. Sort + limit plans as a distributed top-k
     (``TakeOrderedAndProject``): each task keeps its best ``n``.
+
+    With ``input_rows`` the per-key sums are first written to the shared
+    checkpoint folder (one row per key), and the input count is observed by
+    that job's result stage; the top-k then reads the checkpoint.
     """
     out_key = out_key or key
-    sums = df.groupBy(F.col(key).alias(out_key)).agg(exact_sum(value).alias(out_value))
-    return sums.orderBy(F.col(out_value).desc_nulls_last(), F.col(out_key).asc_nulls_last()).limit(n)
+    aggs = [exact_sum(value).alias(out_value)]
+    if input_rows is not None:
+        aggs.append(F.count(F.lit(1)).alias(ROWS_SEEN))
+    sums = df.groupBy(F.col(key).alias(out_key)).agg(*aggs)
+    if input_rows is not None:
+        sums = materialize(observe_rows_seen(sums, input_rows)).drop(ROWS_SEEN)
+    top = sums.orderBy(F.col(out_value).desc_nulls_last(), F.col(out_key).asc_nulls_last()).limit(n)
+    return top if input_rows is None else top.coalesce(1)
+
 
+def total(df: DataFrame, value: str, out: str = "total", input_rows: Observation | None = None) -> DataFrame:
+    """One row: the exact sum of ``value`` (NULL on empty input).
 
-def total(df: DataFrame, value: str, out: str = "total") -> DataFrame:
-    """One row: the exact sum of ``value`` (NULL on empty input)."""
-    return df.agg(exact_sum(value).alias(out))
+    With ``input_rows`` the row count is computed by the same aggregate and
+    observed in its final (single-task, result) stage.
+    """
+    if input_rows is None:
+        return df.agg(exact_sum(value).alias(out))
+    both = df.agg(exact_sum(value).alias(out), F.count(F.lit(1)).alias(ROWS_SEEN)).coalesce(1)
+    return observe_rows_seen(both, input_rows).select(out)
 
 
 def count_by(df: DataFrame, keys: list[str], out: str = "count") -> DataFrame:

@@ -14,36 +14,16 @@ distinct keys, so it is never broadcast blindly:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callstats.operators.aggregates import heavy_group_stats
-from callstats.session import shared_dir
+from callstats.operators.materialize import materialize_counted
 
 # About 64 bytes per lookup row once hashed: 500k rows is ~32 MB per executor.
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``materialize`` plus the row count, observed by the checkpoint job
-    itself (no extra pass). If AQE dropped the metrics node, as it does below
-    an empty shuffle, the checkpointed rows are counted instead.
-    """
-    shared_dir(df.sparkSession)
-    obs = Observation("materialized_rows")
-    saved = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    try:
-        return saved, int(obs.get["rows"])
-    except Exception:
-        return saved, saved.count()
-
-
 def sized_lookup(
     lookup: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialized: bool = False
 ) -> tuple[DataFrame, bool]:

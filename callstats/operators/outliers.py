@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, materialize, sized_lookup
+from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, sized_lookup
+from callstats.operators.materialize import materialize
 
 STRATEGIES = ("auto", "split")
 
@@ -65,20 +66,37 @@ def zscore_outliers(
     heavy_threshold: int = 50_000,
     max_heavy_keys: int = DEFAULT_MAX_HEAVY_KEYS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    input_rows: Observation | None = None,
 ) -> DataFrame:
     """Rows of ``df`` more than ``k`` sample stddevs from their key's mean.
 
     Returns ``key``, the ``keep`` columns, ``value``, ``mean`` and ``stddev``
     (unrounded). Rows with a NULL key or value are never outliers.
+
+    ``input_rows`` (metric ``rows``) receives the number of rows of ``df``,
+    NULL keys included. It is summed from the per-key counts of the stats
+    aggregate in the job that writes the stats to the checkpoint folder, whose
+    result stage counts each row once: no extra pass over ``df``.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     keep = [c for c in (keep or []) if c not in (key, value)]
-    rows = df.select(key, *keep, value).where(F.col(key).isNotNull())
+    cols = df.select(key, *keep, value)
+    rows = cols.where(F.col(key).isNotNull())
     out_cols = [key, *keep, value, "mean", "stddev"]
 
+    # Stats over every row; the NULL-key group only adds to the row total.
+    # The observation sits between the aggregate and the key filter, so the
+    # filter stays above it and the total sees all rows.
+    all_stats = _stats(cols, key, value)
+    if strategy == "split" and input_rows is None:
+        input_rows = Observation("split_total_rows")
+    if input_rows is not None:
+        all_stats = all_stats.observe(input_rows, F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))
+    keyed = all_stats.where(F.col(key).isNotNull())
+
     if strategy == "auto":
-        stats = _stats(rows, key, value).where(_candidates(k)).select(key, "mean", "stddev")
+        stats = keyed.where(_candidates(k)).select(key, "mean", "stddev")
         side, _ = sized_lookup(stats, max_broadcast_rows)
         return rows.join(side, key).where(_deviates(value, k)).select(*out_cols)
 
@@ -88,11 +106,9 @@ def zscore_outliers(
     # data. The total is observed over all keys by the same job that
     # materialises the stats of the keys that matter: candidates, and keys
     # above the threshold (every key above the final cut is among them).
-    obs = Observation("split_total_rows")
-    all_stats = _stats(rows, key, value).observe(obs, F.sum("_rows").alias("t"))
-    stats = materialize(all_stats.where(_candidates(k) | (F.col("_rows") > F.lit(heavy_threshold))))
+    stats = materialize(keyed.where(_candidates(k) | (F.col("_rows") > F.lit(heavy_threshold))))
     try:
-        total_rows = int(obs.get["t"] or 0)
+        total_rows = int(input_rows.get["rows"] or 0)
     except Exception:  # metrics planned away: the input was empty
         total_rows = 0
     cut = max(int(heavy_threshold), total_rows // int(max_heavy_keys))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callstats.functions.time import as_text, as_timestamp, hour_of_day
-from callstats.operators.aggregates import top_by_sum, total
+from callstats.operators.aggregates import ROWS_SEEN, observe_rows_seen, top_by_sum, total
 from callstats.operators.outliers import zscore_outliers
 from callstats.schema import CDR_ROLES, Roles
 from callstats.sinks.manifest import manifest_record, write_manifest
@@ -22,9 +22,17 @@ from callstats.sinks.results import write_result
 from callstats.sources.cdr import read_table
 
 
-def top_callers(df: DataFrame, roles: Roles = CDR_ROLES, n: int = 100) -> DataFrame:
-    """``caller_id, total_spend``: the ``n`` callers with the largest exact spend."""
-    return top_by_sum(df, roles.caller, roles.charge, n=n, out_key="caller_id", out_value="total_spend")
+def top_callers(
+    df: DataFrame, roles: Roles = CDR_ROLES, n: int = 100, input_rows: Observation | None = None
+) -> DataFrame:
+    """``caller_id, total_spend``: the ``n`` callers with the largest exact spend.
+
+    ``input_rows`` (every job takes it) receives the input row count, taken in
+    the job's own pass over the input; see ``run_job``.
+    """
+    return top_by_sum(
+        df, roles.caller, roles.charge, n=n, out_key="caller_id", out_value="total_spend", input_rows=input_rows
+    )
 
 
 def with_hour(df: DataFrame, roles: Roles = CDR_ROLES) -> DataFrame:
@@ -33,16 +41,25 @@ def with_hour(df: DataFrame, roles: Roles = CDR_ROLES) -> DataFrame:
     return df.withColumn("hour_of_day", hour_of_day(as_timestamp(ts_type, roles.timestamp)))
 
 
-def tower_heatmap(df: DataFrame, roles: Roles = CDR_ROLES) -> DataFrame:
+def tower_heatmap(df: DataFrame, roles: Roles = CDR_ROLES, input_rows: Observation | None = None) -> DataFrame:
     """``tower_id, hour_of_day, call_count``; rows without a valid time are dropped.
 
     Rows are counted by ``count(hour_of_day)``, which skips NULL hours, so the
     only group that can count 0 is the unparseable one and it is dropped after
     the aggregate. A NULL filter before the aggregate would be pushed below
     the projection and parse every timestamp twice.
+
+    With ``input_rows`` the groups (at most towers x 25) are gathered into one
+    partition after the parallel final aggregate, and the input count is the
+    sum of their row counts, unparseable group included, observed there.
     """
     hours = with_hour(df.select(roles.tower, roles.timestamp), roles)
-    counts = hours.groupBy(roles.tower, "hour_of_day").agg(F.count("hour_of_day").alias("call_count"))
+    aggs = [F.count("hour_of_day").alias("call_count")]
+    if input_rows is not None:
+        aggs.append(F.count(F.lit(1)).alias(ROWS_SEEN))
+    counts = hours.groupBy(roles.tower, "hour_of_day").agg(*aggs)
+    if input_rows is not None:
+        counts = observe_rows_seen(counts.repartition(1), input_rows)
     return counts.where(F.col("call_count") > 0).select(
         F.col(roles.tower).alias("tower_id"), "hour_of_day", "call_count"
     )
@@ -54,6 +71,7 @@ def anomalous_calls(
     k: float = 3.0,
     strategy: str = "auto",
     heavy_threshold: int = 50_000,
+    input_rows: Observation | None = None,
     **options,
 ) -> DataFrame:
     """``caller_id, call_timestamp, duration_sec, user_mean_duration, user_stddev``:
@@ -69,6 +87,7 @@ def anomalous_calls(
         k=k,
         strategy=strategy,
         heavy_threshold=heavy_threshold,
+        input_rows=input_rows,
         **options,
     )
     return hits.select(
@@ -80,9 +99,9 @@ def anomalous_calls(
     )
 
 
-def revenue_recon(df: DataFrame, roles: Roles = CDR_ROLES) -> DataFrame:
+def revenue_recon(df: DataFrame, roles: Roles = CDR_ROLES, input_rows: Observation | None = None) -> DataFrame:
     """``total_revenue``: one row, the exact sum of all charges (NULL if none)."""
-    return total(df, roles.charge, "total_revenue")
+    return total(df, roles.charge, "total_revenue", input_rows=input_rows)
 
 
 @dataclass(frozen=True)
@@ -91,16 +110,20 @@ class Job:
     build: Callable[..., DataFrame]
     # One part file is only right for results with a size bound.
     single_file: bool
+    # Whether ``build(..., input_rows=...)`` already returns one partition.
+    counted_in_one: bool = True
 
 
 # Logical query names and the job names used in output paths.
 JOBS: dict[str, Job] = {
     "top_callers": Job("top_callers_by_spend", top_callers, True),
     "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, True),
-    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, False),
+    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, False, counted_in_one=False),
     "revenue_recon": Job("revenue_reconciliation", revenue_recon, True),
 }
 
+INPUT_COUNTS = ("exact", "action", "none")
+
 
 def observed_rows(obs: Observation, source: DataFrame) -> int:
     """Row count observed on ``source`` during the job.
@@ -137,30 +160,39 @@ def run_job(
 
     ``df`` may be a function that opens the input, so that a missing input is
     reported like any other failure. The output row count is observed in the
-    write's result stage (exact). The input row count is a ``count()`` action
-    by default (``input_count="exact"``; nearly free on Parquet, one extra
-    read on CSV). ``input_count="observe"`` takes it from the job's own scan
-    instead: one pass, but a map stage re-run after an executor loss adds its
-    rows again. On failure a FAILURE manifest is written and the error
-    re-raised.
+    write's result stage. The input row count, by ``input_count``:
+
+    - ``"exact"`` (default): taken in the job's own single pass over the
+      input. Each job's aggregate carries per-group row counts, summed where
+      Spark applies metric updates once per partition (a result stage), so
+      the count stays exact when tasks are re-run after an executor loss.
+    - ``"action"``: a separate ``count()`` first, as the reference does:
+      nearly free on Parquet, a second full read on CSV.
+    - ``"none"``: not counted (``input_record_count`` is null).
+
+    On failure a FAILURE manifest is written and the error re-raised.
     """
-    if input_count not in ("exact", "observe"):
-        raise ValueError("input_count must be 'exact' or 'observe'")
+    if input_count not in INPUT_COUNTS:
+        raise ValueError(f"input_count must be one of {INPUT_COUNTS}")
     if name not in JOBS:
         raise KeyError(f"unknown job {name!r}; known: {sorted(JOBS)}")
     job = JOBS[name]
     run_id = resolve_run_id(run_id)
     run_dir = f"{output_base.rstrip('/')}/{job.job_name}/{run_id}"
-    obs_in = Observation("input_rows")
     try:
         source = df() if callable(df) else df
+        rows_in = None
+        gather = job.single_file
         if input_count == "exact":
-            rows_in = source.count()
-            result = job.build(source, roles, **params)
+            obs_in = Observation("input_rows")
+            result = job.build(source, roles, input_rows=obs_in, **params)
+            gather = job.single_file and not job.counted_in_one
         else:
-            result = job.build(source.observe(obs_in, F.count(F.lit(1)).alias("rows")), roles, **params)
-        output_count = write_result(result, run_dir, single_file=job.single_file)
-        if input_count == "observe":
+            if input_count == "action":
+                rows_in = source.count()
+            result = job.build(source, roles, **params)
+        output_count = write_result(result, run_dir, single_file=gather)
+        if input_count == "exact":
             rows_in = observed_rows(obs_in, source)
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in, output_count, "SUCCESS")
         write_manifest(spark, record, run_dir)

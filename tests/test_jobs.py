@@ -143,11 +143,18 @@ def test_unknown_job(spark, tmp_out):
         run(spark, "nope", "/x.csv", tmp_out, "r")
 
 
-@pytest.mark.parametrize("mode", ["exact", "observe"])
+@pytest.mark.parametrize("mode", ["exact", "action", "none"])
 def test_input_count_modes(spark, cdr_file, tmp_out, mode):
+    want = None if mode == "none" else 75
     for name in JOBS:
-        m = run(spark, name, cdr_file, tmp_out, f"c-{mode}", input_count=mode, **({"heavy_threshold": 50} if name == "anomalous_calls" else {}))
-        assert m["input_record_count"] == 75, name
+        for strategy in ("auto", "split") if name == "anomalous_calls" else (None,):
+            extra = {"heavy_threshold": 50, "strategy": strategy} if strategy else {}
+            m = run(spark, name, cdr_file, tmp_out, f"c-{mode}", input_count=mode, **extra)
+            assert m["input_record_count"] == want, (name, strategy)
+            assert m["output_record_count"] == {"top_callers_by_spend": 5, "revenue_reconciliation": 1,
+                                                "anomalous_call_detection": 2}.get(m["job_name"], m["output_record_count"])
+        parts = glob.glob(os.path.join(m["output_path"], "part-*"))
+        assert len(parts) == 1 or not JOBS[name].single_file
 
 
 def test_cli(spark, cdr_file, tmp_out, capsys):

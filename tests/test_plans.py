@@ -115,3 +115,44 @@ def test_brute_force_matches_on_events(spark):
     hit = pdf[(pdf["s"] > 0) & ((pdf["value"] - pdf["m"]).abs() > 3 * pdf["s"])]
     assert got == sorted(zip(hit["user_id"].tolist(), hit["event_id"].tolist()))
     assert len(got) == 171
+
+
+def test_counted_jobs_observe_in_the_final_stage(spark):
+    """With ``input_rows`` the heatmap and revenue still scan once, and the
+    metric node sits above the last exchange (the result stage)."""
+    from pyspark.sql import Observation
+
+    from callstats.plans.jobs import revenue_recon, tower_heatmap
+    from callstats.plans.queries import EVENT_ROLES, ORDER_ROLES
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    od = spark.read.parquet(f"{SF}/orders.parquet")
+    for df in (
+        tower_heatmap(ev, EVENT_ROLES, input_rows=Observation("h")),
+        revenue_recon(od, ORDER_ROLES, input_rows=Observation("r")),
+    ):
+        plan = plan_text(df, "simple")
+        assert len(re.findall(r"FileScan parquet", plan)) == 1
+        lines = plan.splitlines()
+        metrics = next(i for i, line in enumerate(lines) if "CollectMetrics" in line)
+        first_exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)
+        assert metrics < first_exchange or "Coalesce 1" in lines[metrics + 1]
+
+
+def test_exact_input_count_takes_no_extra_pass(spark, tmp_path):
+    """The default input count comes from the job's own pass: ``count()`` is
+    never called on the source, and the count equals the table's rows."""
+    from callstats.plans.jobs import JOBS, run_job
+    from callstats.plans.queries import EVENT_ROLES
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    rows = events.count()
+    for name in JOBS:
+        source = spark.read.parquet(f"{SF}/events.parquet")
+
+        def no_count():
+            raise AssertionError("extra pass over the input")
+
+        source.count = no_count
+        m = run_job(spark, name, source, str(tmp_path), "p", roles=EVENT_ROLES)
+        assert m["input_record_count"] == rows, name
