@@ -13,12 +13,13 @@ CDR_TIME_FORMATS = (
 )
 
 # Text lengths each layout can match when parsing (4-digit year, two-digit
-# fields, 1 to 6 fraction digits). A parse is only tried on text of such a
-# length: a failed parse costs a caught exception per row, and CDR text
-# usually has no fraction, so the first layout would fail on nearly every row.
-FORMAT_LENGTHS = {
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": (21, 26),
-    "yyyy-MM-dd'T'HH:mm:ss": (19, 19),
+# fields, 1 to 6 fraction digits), and the 1-based position of its literal
+# 'T'. A parse is only tried on text of such a length with a 'T' there: a
+# failed parse costs a caught exception per row, and CDR text usually has no
+# fraction, so the first layout would fail on nearly every row.
+FORMAT_SHAPES = {
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": (21, 26, 11),
+    "yyyy-MM-dd'T'HH:mm:ss": (19, 19, 11),
 }
 
 # Fixed value: layout of timestamps written as text in results.
@@ -36,9 +37,9 @@ def parse_timestamp(col: str | Column, formats: tuple[str, ...] = CDR_TIME_FORMA
     attempts = []
     for f in formats:
         parsed = F.try_to_timestamp(c, F.lit(f))
-        if f in FORMAT_LENGTHS:
-            lo, hi = FORMAT_LENGTHS[f]
-            parsed = F.when(n.between(lo, hi), parsed)
+        if f in FORMAT_SHAPES:
+            lo, hi, t_at = FORMAT_SHAPES[f]
+            parsed = F.when(n.between(lo, hi) & (F.substring(c, t_at, 1) == F.lit("T")), parsed)
         attempts.append(parsed)
     return F.coalesce(*attempts)
 
