@@ -8,6 +8,13 @@ a materialised stats table, then the rows are joined to it. No group is ever
 gathered in one task, which is what a per-key window or a grouped Python
 function would do for a hot key.
 
+Only keys that hold an outlier are kept in the stats table. Within a key the
+largest deviation from the mean is at its minimum or maximum, and the same
+floating-point test applied to those two values decides whether any row can
+pass (``fl(|v - mean|)`` is monotonic in ``v``). So the lookup side is bounded
+by the keys that appear in the output, not by all keys, and it is usually
+small enough to broadcast: the rows then never move.
+
 ``strategy="auto"``  stats broadcast when their row count is small, otherwise
                      a sort-merge join that AQE skew-splits on the row side.
 ``strategy="split"`` hot keys never move: keys above a bounded threshold get a
@@ -45,17 +52,22 @@ def _stats(rows: DataFrame, key: str, value: str) -> DataFrame:
         F.count(value).alias("_n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("stddev"),
+        F.min(value).alias("_min"),
+        F.max(value).alias("_max"),
     )
 
 
-def _candidates(k: float) -> Column:
-    return (F.col("stddev") > F.lit(0.0)) & can_exceed(F.col("_n"), k)
-
-
 def _deviates(value: str, k: float) -> Column:
     return F.abs(F.col(value) - F.col("mean")) > F.lit(k) * F.col("stddev")
 
 
+def _candidates(k: float) -> Column:
+    """Keys with at least one outlier: spread, enough values, and an extreme
+    value that passes the same test the rows get."""
+    spread = (F.col("stddev") > F.lit(0.0)) & can_exceed(F.col("_n"), k)
+    return spread & (_deviates("_max", k) | _deviates("_min", k))
+
+
 def zscore_outliers(
     df: DataFrame,
     key: str,

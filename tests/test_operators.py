@@ -184,3 +184,38 @@ def test_outliers_on_empty_and_candidate_free_input(spark, strategy):
     assert outlier_set(empty, strategy=strategy) == []
     small = frame(spark, {"a": [1.0, 2.0, 900.0], "b": [3.0] * 5})
     assert outlier_set(small, strategy=strategy) == []
+
+
+def test_lookup_side_holds_only_keys_with_an_outlier(spark):
+    """40 keys qualify by size and spread, 3 of them hold an outlier. With a
+    broadcast bound of 5 rows the stats still broadcast, because only keys
+    whose minimum or maximum passes the test are kept; the rows equal a
+    brute-force pass."""
+    import contextlib
+    import io
+
+    groups = {f"k{i:02d}": [10.0 + (j % 5) for j in range(20)] for i in range(40)}
+    for i in (3, 17, 31):
+        groups[f"k{i:02d}"][7] = 500.0
+    df = frame(spark, groups)
+    out = zscore_outliers(df, "k", "v", keep=["t"], max_broadcast_rows=5)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "BroadcastHashJoin" in buf.getvalue() and "SortMergeJoin" not in buf.getvalue()
+    assert sorted((r["k"], r["t"]) for r in out.collect()) == [("k03", "k03:7"), ("k17", "k17:7"), ("k31", "k31:7")]
+
+
+def test_extreme_value_test_is_exact_at_the_boundary(spark):
+    """A value exactly k sigma away is not an outlier (strict >), and the
+    key-level pruning must not keep or drop anything the row test would not."""
+    import statistics
+
+    base = [0.0] * 10 + [1.0]
+    m, s = statistics.mean(base), statistics.stdev(base)
+    df = frame(spark, {"a": base, "b": base + [m + 3 * s]})
+    want = []
+    for key, vs in (("a", base), ("b", base + [m + 3 * s])):
+        mm, ss = statistics.mean(vs), statistics.stdev(vs)
+        want += [(key, f"{key}:{i}") for i, v in enumerate(vs) if abs(v - mm) > 3 * ss]
+    assert outlier_set(df) == sorted(want)
