@@ -118,11 +118,16 @@ def zscore_outliers(
     # data. The total is observed over all keys by the same job that
     # materialises the stats of the keys that matter: candidates, and keys
     # above the threshold (every key above the final cut is among them).
-    stats = materialize(keyed.where(_candidates(k) | (F.col("_rows") > F.lit(heavy_threshold))))
+    # The same job counts the candidate keys: a bound on the light side that
+    # spares a count of it whenever the bound already fits the broadcast.
+    found = Observation("split_candidates")
+    kept = keyed.where(_candidates(k) | (F.col("_rows") > F.lit(heavy_threshold)))
+    stats = materialize(kept.observe(found, F.count_if(_candidates(k)).alias("candidates")))
     try:
         total_rows = int(input_rows.get["rows"] or 0)
+        candidates = int(found.get["candidates"] or 0)
     except Exception:  # metrics planned away: the input was empty
-        total_rows = 0
+        total_rows, candidates = 0, 0
     cut = max(int(heavy_threshold), total_rows // int(max_heavy_keys))
     is_heavy = F.col("_rows") > F.lit(cut)
 
@@ -131,7 +136,10 @@ def zscore_outliers(
     heavy_part = rows.join(F.broadcast(heavy_stats), key).where(_deviates(value, k))
 
     light_stats = stats.where(~is_heavy & _candidates(k)).select(key, "mean", "stddev")
-    light_side, _ = sized_lookup(light_stats, max_broadcast_rows, materialized=True)
+    if candidates <= max_broadcast_rows:
+        light_side = F.broadcast(light_stats)
+    else:
+        light_side, _ = sized_lookup(light_stats, max_broadcast_rows, materialized=True)
     light_rows = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
     light_part = light_rows.join(light_side, key).where(_deviates(value, k))
 
