@@ -79,6 +79,20 @@ select job_name, 'r0' as run_id, (select count(*) from events) as input_record_c
 from counts
 """
 
+# DuckDB has no CRC-32 function: the standard bitwise CRC-32 (reflected
+# polynomial 0xEDB88320 = 3988292384, initial value and final xor
+# 0xFFFFFFFF) folded over the key's bytes. Keys are decimal digits, so
+# ascii() gives the UTF-8 bytes.
+_KEY_BUCKET = """
+with k as (select event_id, user_id, cast(user_id as varchar) as s from events)
+select event_id, user_id as caller_id,
+  cast(xor(list_reduce(
+      list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))),
+      lambda c, x: list_reduce(range(8), lambda r, j: xor(r >> 1, 3988292384 & -(r & 1)), xor(c, x)),
+      4294967295::BIGINT), 4294967295) % 20 as int) as bucket
+from k
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_spend": """
 select o_custkey as caller_id,
@@ -153,19 +167,8 @@ select 'top_callers_by_spend' as job_name, 'r0' as run_id,
 select 'top_callers_by_spend' as job_name, 'r0' as run_id,
        {_TOP_ORDERS_ROWS} as expected_rows, {_TOP_ORDERS_ROWS} as actual_rows, true as ok
 """,
-    # DuckDB has no CRC-32 function: the standard bitwise CRC-32 (reflected
-    # polynomial 0xEDB88320 = 3988292384, initial value and final xor
-    # 0xFFFFFFFF) folded over the key's bytes. Keys are decimal digits, so
-    # ascii() gives the UTF-8 bytes.
-    "key_bucket": """
-with k as (select event_id, user_id, cast(user_id as varchar) as s from events)
-select event_id, user_id as caller_id,
-  cast(xor(list_reduce(
-      list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))),
-      lambda c, x: list_reduce(range(8), lambda r, j: xor(r >> 1, 3988292384 & -(r & 1)), xor(c, x)),
-      4294967295::BIGINT), 4294967295) % 20 as int) as bucket
-from k
-""",
+    "key_bucket": _KEY_BUCKET,
+    "key_partition": f"select *, bucket as partition from ({_KEY_BUCKET})",
     "job_top_callers": _CDR_TOP,
     "job_tower_heatmap": _CDR_HEATMAP,
     "job_anomalous_calls": _CDR_ANOMALIES,

@@ -18,6 +18,7 @@ from callstats.functions.time import ISO_MICROS
 from callstats.operators.aggregates import group_stats, heavy_group_stats, heavy_hitters
 from callstats.operators.lookup import stats_lookup as stats_lookup_op
 from callstats.operators.partitioning import key_bucket as key_bucket_op
+from callstats.operators.partitioning import repartition_by_key
 from callstats.plans.cdr_runs import CDR_QUERIES
 from callstats.plans.jobs import (
     anomalous_calls,
@@ -177,6 +178,13 @@ def key_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_bucket_op(ev, "caller_id")
 
 
+def key_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows placed by ``repartition_by_key``, with the partition each landed in."""
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("caller_id"))
+    placed = repartition_by_key(key_bucket_op(ev, "caller_id"), "caller_id")
+    return placed.withColumn("partition", F.spark_partition_id())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_spend": top_spend,
     "top_spend_lineitem": top_spend_lineitem,
@@ -198,5 +206,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_manifest": run_manifest,
     "manifest_check": manifest_check,
     "key_bucket": key_bucket,
+    "key_partition": key_partition,
     **CDR_QUERIES,
 }
