@@ -165,3 +165,17 @@ def test_cli(spark, cdr_file, tmp_out, capsys):
     assert '"job_name": "anomalous_call_detection"' in capsys.readouterr().out
     m = main(["top_callers", "none", cdr_file, "--output-base", tmp_out, "--top", "2"])
     assert m["run_id"].endswith("_fallback") and m["output_record_count"] == 2
+
+
+@pytest.mark.parametrize("mode", ["exact", "action"])
+def test_every_job_on_header_only_file(spark, tmp_path, tmp_out, mode):
+    """No rows: every job succeeds, reports 0 input rows, and the check agrees
+    with what was stored (revenue stores its one NULL row)."""
+    path = write_csv(str(tmp_path / "empty.csv"), [])
+    for name in JOBS:
+        for strategy in ("auto", "split") if name == "anomalous_calls" else (None,):
+            extra = {"strategy": strategy} if strategy else {}
+            m = run(spark, name, path, tmp_out, f"e-{mode}-{strategy}", input_count=mode, **extra)
+            want_out = 1 if name == "revenue_recon" else 0
+            assert (m["status"], m["input_record_count"], m["output_record_count"]) == ("SUCCESS", 0, want_out), name
+    assert all(r["ok"] for r in check_manifests(spark, tmp_out).collect())
