@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from callstats.functions.money import exact_sum
 from callstats.operators.materialize import materialize
+from callstats.schema import TOP_N
 
 # Name of the per-group row count carried for ``input_rows``.
 ROWS_SEEN = "_rows_seen"
@@ -31,7 +32,7 @@ def top_by_sum(
     df: DataFrame,
     key: str,
     value: str,
-    n: int = 100,
+    n: int = TOP_N,
     out_key: str | None = None,
     out_value: str = "total",
     input_rows: Observation | None = None,

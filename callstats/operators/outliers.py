@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, sized_lookup
 from callstats.operators.materialize import materialize
+from callstats.schema import HEAVY_THRESHOLD, SIGMAS
 
 STRATEGIES = ("auto", "split")
 
@@ -73,9 +74,9 @@ def zscore_outliers(
     key: str,
     value: str,
     keep: list[str] | None = None,
-    k: float = 3.0,
+    k: float = SIGMAS,
     strategy: str = "auto",
-    heavy_threshold: int = 50_000,
+    heavy_threshold: int = HEAVY_THRESHOLD,
     max_heavy_keys: int = DEFAULT_MAX_HEAVY_KEYS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     input_rows: Observation | None = None,

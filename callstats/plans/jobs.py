@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from callstats.functions.time import as_text, as_timestamp, hour_of_day
 from callstats.operators.aggregates import ROWS_SEEN, observe_rows_seen, top_by_sum, total
 from callstats.operators.outliers import zscore_outliers
-from callstats.schema import CDR_ROLES, Roles
+from callstats.schema import CDR_ROLES, HEAVY_THRESHOLD, SIGMAS, TOP_N, Roles
 from callstats.sinks.manifest import manifest_record, write_manifest
 from callstats.sinks.results import write_result
 from callstats.sources.cdr import read_table
 
 
 def top_callers(
-    df: DataFrame, roles: Roles = CDR_ROLES, n: int = 100, input_rows: Observation | None = None
+    df: DataFrame, roles: Roles = CDR_ROLES, n: int = TOP_N, input_rows: Observation | None = None
 ) -> DataFrame:
     """``caller_id, total_spend``: the ``n`` callers with the largest exact spend.
 
@@ -68,9 +68,9 @@ def tower_heatmap(df: DataFrame, roles: Roles = CDR_ROLES, input_rows: Observati
 def anomalous_calls(
     df: DataFrame,
     roles: Roles = CDR_ROLES,
-    k: float = 3.0,
+    k: float = SIGMAS,
     strategy: str = "auto",
-    heavy_threshold: int = 50_000,
+    heavy_threshold: int = HEAVY_THRESHOLD,
     input_rows: Observation | None = None,
     **options,
 ) -> DataFrame:

@@ -67,6 +67,14 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+# The jobs' defaults. Top callers keeps 100 callers; a caller
+# with more than 50000 calls is heavy (strict >); a call is an anomaly beyond
+# 3 sample standard deviations from its caller's mean.
+TOP_N = 100
+HEAVY_THRESHOLD = 50_000
+SIGMAS = 3.0
+
+
 @dataclass(frozen=True)
 class Roles:
     """Which input column plays which CDR role."""
