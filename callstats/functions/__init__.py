@@ -2,6 +2,7 @@
 
 from callstats.functions.hashing import crc32_bucket
 from callstats.functions.money import CENTS_PER_UNIT, cents, exact_sum
+from callstats.functions.rounding import round_exact
 from callstats.functions.time import (
     CDR_TIME_FORMATS,
     ISO_MICROS,
@@ -22,4 +23,5 @@ __all__ = [
     "exact_sum",
     "hour_of_day",
     "parse_timestamp",
+    "round_exact",
 ]

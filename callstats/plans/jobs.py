@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from callstats.functions.rounding import round_exact
 from callstats.functions.time import as_text, as_timestamp, hour_of_day
 from callstats.operators.aggregates import ROWS_SEEN, observe_rows_seen, top_by_sum, total
 from callstats.operators.outliers import zscore_outliers
@@ -76,7 +77,8 @@ def anomalous_calls(
 ) -> DataFrame:
     """``caller_id, call_timestamp, duration_sec, user_mean_duration, user_stddev``:
     calls more than ``k`` sample stddevs from the caller's mean duration, with
-    the caller's mean and stddev rounded to 2 places.
+    the caller's mean and stddev rounded to 2 places as Python's ``round``
+    does (``round_exact``).
     """
     ts_type = df.schema[roles.timestamp].dataType
     hits = zscore_outliers(
@@ -94,8 +96,8 @@ def anomalous_calls(
         F.col(roles.caller).alias("caller_id"),
         as_text(ts_type, roles.timestamp).alias("call_timestamp"),
         F.col(roles.duration).alias("duration_sec"),
-        F.round("mean", 2).alias("user_mean_duration"),
-        F.round("stddev", 2).alias("user_stddev"),
+        round_exact("mean", 2).alias("user_mean_duration"),
+        round_exact("stddev", 2).alias("user_stddev"),
     )
 
 

@@ -20,8 +20,8 @@ with st as (
 select user_id as caller_id,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as call_timestamp,
        value as duration_sec,
-       round(m, 2) as user_mean_duration,
-       round(s, 2) as user_stddev
+       cast(printf('%.2f', m) as double) as user_mean_duration,
+       cast(printf('%.2f', s) as double) as user_stddev
 from events join st on user_id = u
 where s > 0 and abs(value - m) > 3 * s
 """
@@ -55,7 +55,7 @@ st as (
   from cdr group by caller_id
 )
 select caller_id, call_timestamp, duration_sec,
-       round(m, 2) as user_mean_duration, round(s, 2) as user_stddev
+       cast(printf('%.2f', m) as double) as user_mean_duration, cast(printf('%.2f', s) as double) as user_stddev
 from cdr join st on caller_id = c
 where s > 0 and abs(duration_sec - m) > 3 * s
 """

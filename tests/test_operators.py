@@ -219,3 +219,21 @@ def test_extreme_value_test_is_exact_at_the_boundary(spark):
         mm, ss = statistics.mean(vs), statistics.stdev(vs)
         want += [(key, f"{key}:{i}") for i, v in enumerate(vs) if abs(v - mm) > 3 * ss]
     assert outlier_set(df) == sorted(want)
+
+
+def test_round_exact_matches_python_round(spark):
+    """Ties in the shortest decimal text (2271.075 is 2271.07499...) and exact
+    binary ties (123.125) round as Python's round does; F.round differs."""
+    import math
+    import random
+
+    from callstats.functions import round_exact
+
+    rng = random.Random(3)
+    vals = [2271.075, 2.675, 1.005, 123.125, 0.125, -2.675, -0.125, 0.0, 1e-9, 5e15 + 0.5, 3302.685]
+    vals += [rng.randint(0, 10**6) / 1000 for _ in range(500)] + [rng.randint(1, 10**5) / 40 for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)] + [(-1, float("nan")), (-2, None)], "i long, v double")
+    got = {r["i"]: r["r"] for r in df.select("i", round_exact("v", 2).alias("r")).collect()}
+    assert all(got[i] == round(v, 2) for i, v in enumerate(vals))
+    assert math.isnan(got[-1]) and got[-2] is None
+    assert round(2271.075, 2) == 2271.07 and df.where("i = 0").select(F.round("v", 2)).first()[0] == 2271.08
