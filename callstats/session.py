@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Options every job relies on. Hours are taken in UTC; AQE re-plans joins and
-# splits skewed shuffle partitions at runtime.
+# splits skewed shuffle partitions at runtime; checkpoint files (per-key stats
+# and sums) are deleted once their frames are garbage collected, so repeated
+# runs do not fill the shared folder.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
