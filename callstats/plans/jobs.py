@@ -110,18 +110,24 @@ def revenue_recon(df: DataFrame, roles: Roles = CDR_ROLES, input_rows: Observati
 class Job:
     job_name: str
     build: Callable[..., DataFrame]
-    # One part file is only right for results with a size bound.
-    single_file: bool
-    # Whether ``build(..., input_rows=...)`` already returns one partition.
-    counted_in_one: bool = True
+    # How the result becomes one part file: None (written in parallel),
+    # "coalesce" (the result is one partition already: top-k, global sum) or
+    # "repartition" (gathered after a parallel last stage). One part file is
+    # only right for results with a size bound. With ``input_rows`` the
+    # single-file builders return one partition themselves.
+    one_file: str | None
+
+    @property
+    def single_file(self) -> bool:
+        return self.one_file is not None
 
 
 # Logical query names and the job names used in output paths.
 JOBS: dict[str, Job] = {
-    "top_callers": Job("top_callers_by_spend", top_callers, True),
-    "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, True),
-    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, False, counted_in_one=False),
-    "revenue_recon": Job("revenue_reconciliation", revenue_recon, True),
+    "top_callers": Job("top_callers_by_spend", top_callers, "coalesce"),
+    "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, "repartition"),
+    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, None),
+    "revenue_recon": Job("revenue_reconciliation", revenue_recon, "coalesce"),
 }
 
 INPUT_COUNTS = ("exact", "action", "none")
@@ -184,16 +190,16 @@ def run_job(
     try:
         source = df() if callable(df) else df
         rows_in = None
-        gather = job.single_file
+        gather = job.one_file
         if input_count == "exact":
             obs_in = Observation("input_rows")
             result = job.build(source, roles, input_rows=obs_in, **params)
-            gather = job.single_file and not job.counted_in_one
+            gather = "coalesce" if job.single_file else None
         else:
             if input_count == "action":
                 rows_in = source.count()
             result = job.build(source, roles, **params)
-        output_count = write_result(result, run_dir, single_file=gather)
+        output_count = write_result(result, run_dir, single_file=gather or False)
         if input_count == "exact":
             rows_in = observed_rows(obs_in, source)
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in, output_count, "SUCCESS")
