@@ -12,19 +12,39 @@ from callstats.schema import CDR_SCHEMA
 NULL_TEXT = "NULL"
 
 
+def header_schema(spark: SparkSession, path: str | list[str], schema: T.StructType = CDR_SCHEMA) -> T.StructType:
+    """``schema``'s types laid out in the order of the input's header line.
+
+    Spark reads only the first line for this (no type inference). Columns the
+    schema does not know are read as strings; an input without a header line
+    keeps ``schema`` as is.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    if not names:
+        return schema
+    known = {f.name: f for f in schema.fields}
+    return T.StructType([known.get(n, T.StructField(n, T.StringType(), True)) for n in names])
+
+
 def read_cdr(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType = CDR_SCHEMA,
     corrupt_column: str | None = None,
 ) -> DataFrame:
-    """CDR CSV with a header line, read with a fixed schema.
+    """CDR CSV with a header line, read with declared types.
 
-    PERMISSIVE mode: a cell that does not fit its type becomes NULL instead of
-    failing the job. With ``corrupt_column`` the raw text of such rows is kept
-    in that extra string column.
+    Columns are matched by header name, as a header-driven read would: the
+    types of ``schema`` are laid out in the order of the first file's header,
+    and every other file's header is checked against that order
+    (``enforceSchema=false``), so a file with its columns in another order
+    fails the job instead of being read into the wrong columns. PERMISSIVE
+    mode: a cell that does not fit its type becomes NULL instead of failing
+    the job. With ``corrupt_column`` the raw text of such rows is kept in that
+    extra string column.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    schema = header_schema(spark, path, schema)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
     if corrupt_column:
         schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)

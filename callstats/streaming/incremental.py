@@ -27,8 +27,17 @@ STREAMABLE = ("top_callers", "tower_heatmap", "revenue_recon")
 
 
 def read_cdr_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New CDR CSV files in ``folder`` as a stream, with the declared schema."""
-    reader = spark.readStream.schema(CDR_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
+    """New CDR CSV files in ``folder`` as a stream, with the declared schema.
+
+    Each file's header must list the columns in the declared order; a file
+    that does not fails the batch instead of being read into wrong columns.
+    """
+    reader = (
+        spark.readStream.schema(CDR_SCHEMA)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(folder)
