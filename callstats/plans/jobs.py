@@ -222,10 +222,15 @@ def run(
     run_id: str | None = None,
     fmt: str | None = None,
     roles: Roles = CDR_ROLES,
+    by_header: bool = True,
     **params,
 ) -> dict:
-    """Read ``input_uri`` (CDR CSV by default) and run job ``name`` on it."""
+    """Read ``input_uri`` (CDR CSV by default) and run job ``name`` on it.
+
+    CSV columns are matched by header name unless ``by_header=False`` (see
+    ``read_cdr``).
+    """
     def source() -> DataFrame:
-        return read_table(spark, input_uri, fmt or "csv")
+        return read_table(spark, input_uri, fmt or "csv", by_header=by_header)
 
     return run_job(spark, name, source, output_base, run_id, input_path=input_uri, roles=roles, **params)

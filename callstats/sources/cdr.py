@@ -31,6 +31,7 @@ def read_cdr(
     path: str | list[str],
     schema: T.StructType = CDR_SCHEMA,
     corrupt_column: str | None = None,
+    by_header: bool = True,
 ) -> DataFrame:
     """CDR CSV with a header line, read with declared types.
 
@@ -42,8 +43,13 @@ def read_cdr(
     mode: a cell that does not fit its type becomes NULL instead of failing
     the job. With ``corrupt_column`` the raw text of such rows is kept in that
     extra string column.
+
+    Reading the header lists the input files once more; on an object store
+    with very many files, ``by_header=False`` skips that and expects the
+    declared order (still checked on every file).
     """
-    schema = header_schema(spark, path, schema)
+    if by_header:
+        schema = header_schema(spark, path, schema)
     reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
     if corrupt_column:
         schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
@@ -51,11 +57,17 @@ def read_cdr(
     return reader.schema(schema).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    schema: T.StructType | None = None,
+    by_header: bool = True,
+) -> DataFrame:
     """Any input table: Parquet by default, CSV (CDR layout) or JSON by name."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "json" if path.endswith(".json") else "parquet")
     if fmt == "csv":
-        return read_cdr(spark, path, schema or CDR_SCHEMA)
+        return read_cdr(spark, path, schema or CDR_SCHEMA, by_header=by_header)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.format(fmt).load(path)
 

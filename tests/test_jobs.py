@@ -163,7 +163,7 @@ def test_cli(spark, cdr_file, tmp_out, capsys):
     m = main(["anomalous_calls", "cli1", cdr_file, "--output-base", tmp_out, "--heavy-threshold", "50", "--strategy", "split"])
     assert m["status"] == "SUCCESS" and m["output_record_count"] == 2
     assert '"job_name": "anomalous_call_detection"' in capsys.readouterr().out
-    m = main(["top_callers", "none", cdr_file, "--output-base", tmp_out, "--top", "2"])
+    m = main(["top_callers", "none", cdr_file, "--output-base", tmp_out, "--top", "2", "--declared-order"])
     assert m["run_id"].endswith("_fallback") and m["output_record_count"] == 2
 
 
@@ -206,6 +206,8 @@ def test_columns_are_matched_by_header_name(spark, tmp_path, tmp_out):
         tb = sorted(open(p, encoding="utf-8").read() for p in glob.glob(os.path.join(b["output_path"], "part-*")))
         assert ta == tb, name
         assert "".join(ta) or name == "anomalous_calls", name
+    with pytest.raises(Exception):  # declared order expected, header disagrees
+        run(spark, "revenue_recon", str(other), tmp_out, "declared", by_header=False)
     write_csv(str(other / "b.csv"), [",".join(map(str, r)) for r in rows])
     with pytest.raises(Exception):
         run(spark, "revenue_recon", str(other), tmp_out, "mixed")
