@@ -12,12 +12,24 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callstats.functions.rounding import round_exact
 from callstats.functions.time import as_text, as_timestamp, hour_of_day
 from callstats.operators.aggregates import ROWS_SEEN, observe_rows_seen, top_by_sum, total
 from callstats.operators.outliers import zscore_outliers
-from callstats.schema import CDR_ROLES, HEAVY_THRESHOLD, SIGMAS, TOP_N, Roles
+from callstats.operators.projection import conform
+from callstats.schema import (
+    ANOMALY_SCHEMA,
+    CDR_ROLES,
+    HEATMAP_SCHEMA,
+    HEAVY_THRESHOLD,
+    REVENUE_SCHEMA,
+    SIGMAS,
+    TOP_CALLERS_SCHEMA,
+    TOP_N,
+    Roles,
+)
 from callstats.sinks.manifest import manifest_record, write_manifest
 from callstats.sinks.results import write_result
 from callstats.sources.cdr import read_table
@@ -116,6 +128,8 @@ class Job:
     # only right for results with a size bound. With ``input_rows`` the
     # single-file builders return one partition themselves.
     one_file: str | None
+    # Layout of the published CSV: column order and types.
+    schema: T.StructType
 
     @property
     def single_file(self) -> bool:
@@ -124,10 +138,10 @@ class Job:
 
 # Logical query names and the job names used in output paths.
 JOBS: dict[str, Job] = {
-    "top_callers": Job("top_callers_by_spend", top_callers, "coalesce"),
-    "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, "repartition"),
-    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, None),
-    "revenue_recon": Job("revenue_reconciliation", revenue_recon, "coalesce"),
+    "top_callers": Job("top_callers_by_spend", top_callers, "coalesce", TOP_CALLERS_SCHEMA),
+    "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, "repartition", HEATMAP_SCHEMA),
+    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, None, ANOMALY_SCHEMA),
+    "revenue_recon": Job("revenue_reconciliation", revenue_recon, "coalesce", REVENUE_SCHEMA),
 }
 
 INPUT_COUNTS = ("exact", "action", "none")
@@ -199,7 +213,9 @@ def run_job(
             if input_count == "action":
                 rows_in = source.count()
             result = job.build(source, roles, **params)
-        output_count = write_result(result, run_dir, single_file=gather or False)
+        # Published in the job's fixed layout whatever the input types (a
+        # projection in the same stage: the metrics stay where they are).
+        output_count = write_result(conform(result, job.schema), run_dir, single_file=gather or False)
         if input_count == "exact":
             rows_in = observed_rows(obs_in, source)
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in, output_count, "SUCCESS")

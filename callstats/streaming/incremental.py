@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from callstats.operators.projection import conform
 from callstats.plans.jobs import JOBS, resolve_run_id
 from callstats.schema import CDR_ROLES, CDR_SCHEMA, Roles
 from callstats.sinks.manifest import manifest_record, write_manifest
@@ -68,7 +69,7 @@ def start_incremental(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         run_dir = f"{base}/{job.job_name}/{run_id}-b{batch_id}"
-        rows = write_result(batch, run_dir, single_file=job.single_file)
+        rows = write_result(conform(batch, job.schema), run_dir, single_file=job.single_file)
         # the stream's total input is not known inside a micro-batch
         record = manifest_record(job.job_name, f"{run_id}-b{batch_id}", input_path, run_dir + "/", None, rows, "SUCCESS")
         write_manifest(batch.sparkSession, record, run_dir)
