@@ -116,12 +116,17 @@ def main(rows: int = 20_000_000, kill_after: float = 6.0) -> bool:
     def published(manifest, name):
         return sorted(tuple(r) for r in read_result(spark, manifest["output_path"], JOBS[name].schema).collect())
 
+    # Every job, plus the anomaly job with broadcast ruled out: a sort-merge
+    # join in which AQE splits the whale's partition.
+    cases = [(name, name, {}) for name in JOBS]
+    cases.append(("anomalous_calls/sort-merge", "anomalous_calls", {"max_broadcast_rows": 0}))
     ok = True
-    for name in JOBS:
-        clean = run(spark, name, csv, f"{work}/out", f"clean-{name}")
+    for label, name, params in cases:
+        tag = label.replace("/", "-")
+        clean = run(spark, name, csv, f"{work}/out", f"clean-{tag}", **params)
         killed: list = []
         thread = kill_one_after(kill_after, killed)
-        lossy = run(spark, name, csv, f"{work}/out", f"loss-{name}")
+        lossy = run(spark, name, csv, f"{work}/out", f"loss-{tag}", **params)
         thread.join()
         same = (
             clean["input_record_count"] == lossy["input_record_count"] == rows
@@ -130,7 +135,7 @@ def main(rows: int = 20_000_000, kill_after: float = 6.0) -> bool:
         )
         ok &= same
         print(json.dumps({
-            "job": name,
+            "job": label,
             "input": [clean["input_record_count"], lossy["input_record_count"]],
             "output": [clean["output_record_count"], lossy["output_record_count"]],
             "same_rows": same,
