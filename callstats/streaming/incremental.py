@@ -23,18 +23,26 @@ from callstats.plans.jobs import JOBS, resolve_run_id
 from callstats.schema import CDR_ROLES, CDR_SCHEMA, Roles
 from callstats.sinks.manifest import manifest_record, write_manifest
 from callstats.sinks.results import write_result
+from callstats.sources.cdr import header_schema
 
 STREAMABLE = ("top_callers", "tower_heatmap", "revenue_recon")
 
 
 def read_cdr_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New CDR CSV files in ``folder`` as a stream, with the declared schema.
+    """New CDR CSV files in ``folder`` as a stream, with the declared types.
 
-    Each file's header must list the columns in the declared order; a file
-    that does not fails the batch instead of being read into wrong columns.
+    A stream needs its layout before it starts: it is taken from the header of
+    the files already in ``folder`` (as the batch reader does), or is the
+    declared order when there are none. Every file's header must match it; a
+    file that does not fails the batch instead of being read into wrong
+    columns.
     """
+    try:
+        schema = header_schema(spark, folder, CDR_SCHEMA)
+    except Exception:  # nothing to read yet
+        schema = CDR_SCHEMA
     reader = (
-        spark.readStream.schema(CDR_SCHEMA)
+        spark.readStream.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
