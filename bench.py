@@ -1,8 +1,9 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_REPEAT (default 5; the best run of each query counts). One untimed
-pass over all queries warms the JVM first.
+(default 8), BENCH_REPEAT (default 5; the best run of each query counts),
+BENCH_EVENT_LOG (optional folder: Spark's event log is written there, for
+stage and task times). One untimed pass over all queries warms the JVM first.
 Each query runs to completion through the ``noop`` sink, so the timing covers
 the whole plan and no result is pulled to the driver.
 
@@ -47,6 +48,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "5")))
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    log_conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log} if event_log else {}
     spark = build_session(
         "callstats-bench",
         master=f"local[{cpus}]",
@@ -55,6 +58,7 @@ def main() -> None:
             "spark.driver.memory": "8g",
             "spark.sql.files.maxPartitionBytes": "64m",
             "spark.ui.showConsoleProgress": "false",
+            **log_conf,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
