@@ -49,7 +49,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "5")))
     event_log = os.environ.get("BENCH_EVENT_LOG")
-    log_conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log} if event_log else {}
+    log_conf = (
+        {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log, "spark.eventLog.compress": "false"}
+        if event_log
+        else {}
+    )
     spark = build_session(
         "callstats-bench",
         master=f"local[{cpus}]",
