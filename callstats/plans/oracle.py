@@ -172,6 +172,7 @@ select 'top_callers_by_spend' as job_name, 'r0' as run_id,
     "job_top_callers": _CDR_TOP,
     "job_tower_heatmap": _CDR_HEATMAP,
     "job_anomalous_calls": _CDR_ANOMALIES,
+    "job_anomalous_calls_split": _CDR_ANOMALIES,
     "job_revenue_recon": _CDR_REVENUE,
     "job_manifests": _CDR_MANIFESTS,
     "stream_top_callers": _CDR_TOP,

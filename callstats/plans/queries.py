@@ -19,7 +19,7 @@ from callstats.operators.aggregates import group_stats, heavy_group_stats, heavy
 from callstats.operators.lookup import stats_lookup as stats_lookup_op
 from callstats.operators.partitioning import key_bucket as key_bucket_op
 from callstats.operators.partitioning import repartition_by_key
-from callstats.plans.cdr_runs import CDR_QUERIES
+from callstats.plans.cdr_runs import CDR_QUERIES, TEST_HEAVY_THRESHOLD
 from callstats.plans.jobs import (
     anomalous_calls,
     revenue_recon,
@@ -38,8 +38,6 @@ ORDER_ROLES = Roles(caller="o_custkey", charge="o_totalprice")
 EVENT_ROLES = Roles(caller="user_id", duration="value", tower="event_type", timestamp="ts", charge="value")
 LINEITEM_ROLES = Roles(caller="l_suppkey", charge="l_extendedprice")
 
-# Threshold for "heavy" keys on the test tables (users have 49-99 events).
-TEST_HEAVY_THRESHOLD = 80
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
