@@ -211,3 +211,15 @@ def test_columns_are_matched_by_header_name(spark, tmp_path, tmp_out):
     write_csv(str(other / "b.csv"), [",".join(map(str, r)) for r in rows])
     with pytest.raises(Exception):
         run(spark, "revenue_recon", str(other), tmp_out, "mixed")
+
+
+def test_manifest_check_flags_stored_rows_that_disagree(spark, cdr_file, tmp_out):
+    """A run whose folder holds more result lines than its manifest states is
+    reported as not ok; the untouched run stays ok."""
+    a = run(spark, "top_callers", cdr_file, tmp_out, "kept")
+    b = run(spark, "top_callers", cdr_file, tmp_out, "tampered")
+    with open(os.path.join(b["output_path"], "part-99999-extra.csv"), "w", encoding="utf-8") as f:
+        f.write("X,1.0\n")
+    checks = {r["run_id"]: r for r in check_manifests(spark, tmp_out).collect()}
+    assert checks["kept"]["ok"] and checks["kept"]["actual_rows"] == a["output_record_count"]
+    assert not checks["tampered"]["ok"] and checks["tampered"]["actual_rows"] == b["output_record_count"] + 1
