@@ -78,11 +78,18 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     names = HEADLINE + list(jobs)
+    failed: dict[str, str] = {}
     for name in names:
-        run_once(name)
+        try:
+            run_once(name)
+        except Exception as exc:  # reported in the JSON line, the others still run
+            failed[name] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:200] if str(exc) else ''}"
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
     for name in names:
+        if name in failed:
+            times[name] = None
+            continue
         best = None
         for _ in range(repeat):
             t0 = time.perf_counter()
@@ -96,9 +103,10 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "sum_best_query_sec",
-                "value": round(sum(times.values()), 4),
+                "value": round(sum(t for t in times.values() if t is not None), 4),
                 "unit": "sec",
                 "queries": times,
+                **({"failed": failed} if failed else {}),
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "repeat": repeat,
