@@ -22,8 +22,10 @@ def header_schema(spark: SparkSession, path: str | list[str], schema: T.StructTy
     names = spark.read.option("header", True).csv(path).columns
     if not names:
         return schema
-    known = {f.name: f for f in schema.fields}
-    return T.StructType([known.get(n, T.StructField(n, T.StringType(), True)) for n in names])
+    # Names match regardless of case, as Spark resolves columns by default;
+    # the declared name is kept.
+    known = {f.name.lower(): f for f in schema.fields}
+    return T.StructType([known.get(n.lower(), T.StructField(n, T.StringType(), True)) for n in names])
 
 
 def read_cdr(

@@ -223,3 +223,15 @@ def test_manifest_check_flags_stored_rows_that_disagree(spark, cdr_file, tmp_out
     checks = {r["run_id"]: r for r in check_manifests(spark, tmp_out).collect()}
     assert checks["kept"]["ok"] and checks["kept"]["actual_rows"] == a["output_record_count"]
     assert not checks["tampered"]["ok"] and checks["tampered"]["actual_rows"] == b["output_record_count"] + 1
+
+
+def test_header_names_match_regardless_of_case(spark, tmp_path):
+    path = tmp_path / "upper.csv"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(HEADER.upper() + "\n")
+        f.write("U1,U2,60,T1,2023-10-01T10:00:00,VOICE,1.5\n")
+    df = read_cdr(spark, str(path))
+    assert dict(df.dtypes) == {"caller_id": "string", "receiver_id": "string", "duration_sec": "int",
+                               "tower_id": "string", "timestamp": "string", "call_type": "string",
+                               "charge_amount": "double"}
+    assert df.first()["duration_sec"] == 60
