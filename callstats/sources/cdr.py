@@ -66,10 +66,16 @@ def read_table(
     schema: T.StructType | None = None,
     by_header: bool = True,
 ) -> DataFrame:
-    """Any input table: Parquet by default, CSV (CDR layout) or JSON by name."""
+    """Any input table: Parquet by default, CSV (CDR layout) or JSON by name.
+
+    CSV and JSON get the declared CDR schema unless one is given: inferring a
+    JSON schema would read the whole input once more. Parquet brings its own.
+    """
     fmt = fmt or ("csv" if path.endswith(".csv") else "json" if path.endswith(".json") else "parquet")
     if fmt == "csv":
         return read_cdr(spark, path, schema or CDR_SCHEMA, by_header=by_header)
+    if fmt == "json":
+        schema = schema or CDR_SCHEMA
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.format(fmt).load(path)
 

@@ -235,3 +235,15 @@ def test_header_names_match_regardless_of_case(spark, tmp_path):
                                "tower_id": "string", "timestamp": "string", "call_type": "string",
                                "charge_amount": "double"}
     assert df.first()["duration_sec"] == 60
+
+
+def test_json_input_uses_the_declared_schema(spark, tmp_path, tmp_out):
+    """JSON records are read by field name with the declared types (no
+    inference pass); a digit-only caller stays a string."""
+    path = tmp_path / "cdr.json"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('{"charge_amount": 1.25, "caller_id": "7", "duration_sec": 60, "timestamp": "2023-10-01T10:00:00", "tower_id": "T1"}\n')
+        f.write('{"caller_id": "7", "charge_amount": 2.5, "duration_sec": 90, "timestamp": "2023-10-01T11:00:00", "tower_id": "T1"}\n')
+    m = run(spark, "top_callers", str(path), tmp_out, "j", fmt="json")
+    rows = [tuple(r) for r in read_result(spark, m["output_path"], TOP_CALLERS_SCHEMA).collect()]
+    assert rows == [("7", 3.75)] and m["input_record_count"] == 2
