@@ -156,3 +156,29 @@ def test_exact_input_count_takes_no_extra_pass(spark, tmp_path):
         source.count = no_count
         m = run_job(spark, name, source, str(tmp_path), "p", roles=EVENT_ROLES)
         assert m["input_record_count"] == rows, name
+
+
+def test_csv_job_paths_compile_to_whole_stage_code(spark, tmp_path):
+    """The heatmap's parse-and-count and the anomaly job's scan-join-round
+    run as generated code: the scan, the parse, the join and the rounding
+    sit inside WholeStageCodegen subtrees, with no Python node."""
+    from callstats.plans.jobs import anomalous_calls, tower_heatmap
+    from callstats.sources.cdr import read_cdr
+    from tests.test_jobs import write_csv
+
+    lines = [f"U{i % 13},U1,{60 + i % 7},T{i % 3},2023-10-01T{i % 24:02d}:00:00,VOICE,1.25" for i in range(300)]
+    src = read_cdr(spark, write_csv(str(tmp_path / "cdr.csv"), lines))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the codegen stages before execution
+    try:
+        for df, inside in (
+            (tower_heatmap(src), ("RLIKE", "partial_count")),
+            (anomalous_calls(src), ("BroadcastHashJoin", "format_number")),
+        ):
+            text = plan_text(df, "codegen")
+            n = int(re.search(r"Found (\d+) WholeStageCodegen subtrees", text).group(1))
+            assert n >= 2
+            assert all(token in text for token in inside)
+            assert not any(p in text for p in PYTHON_NODES)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
