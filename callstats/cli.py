@@ -1,4 +1,6 @@
-"""Command line: ``spark-submit callstats/cli.py <job> <run_id> [<input_path>]``.
+"""Command line: ``spark-submit callstats/cli.py <job> <run_id> [<input_path>]``,
+or ``... check [<output_base>]`` to check every run's manifest against its
+stored rows (the reference's post-run check).
 
 Also ``python -m callstats ...``. Prints the run manifest as JSON; exits
 non-zero (after writing a FAILURE manifest) when the job fails.
@@ -15,6 +17,7 @@ if __package__ in (None, ""):  # run as a file by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from callstats.plans.jobs import INPUT_COUNTS, JOBS, run  # noqa: E402
+from callstats.sinks.manifest import check_manifests  # noqa: E402
 from callstats.session import build_session  # noqa: E402
 
 # Default input file and output folder of the job scripts.
@@ -53,7 +56,25 @@ def job_params(args: argparse.Namespace) -> dict:
     return params
 
 
-def main(argv: list[str] | None = None) -> dict:
+def check(argv: list[str]) -> list[dict]:
+    """``check <output_base>``: one JSON line per run found under the base
+    (manifest count, stored rows, ok); exits non-zero if any run is not ok."""
+    p = argparse.ArgumentParser(prog="callstats check", description="Check every run's manifest against its output.")
+    p.add_argument("output_base", nargs="?", default=DEFAULT_OUTPUT)
+    args = p.parse_args(argv)
+    spark = build_session("callstats-check")
+    rows = [r.asDict() for r in check_manifests(spark, args.output_base).orderBy("job_name", "run_id").collect()]
+    for r in rows:
+        print(json.dumps(r))
+    if not rows or not all(r["ok"] for r in rows):
+        raise SystemExit(1)
+    return rows
+
+
+def main(argv: list[str] | None = None) -> dict | list[dict]:
+    argv = sys.argv[1:] if argv is None else argv
+    if argv and argv[0] == "check":
+        return check(argv[1:])
     args = parse_args(argv)
     spark = build_session(f"callstats-{args.job}")
     manifest = run(

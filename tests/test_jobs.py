@@ -247,3 +247,17 @@ def test_json_input_uses_the_declared_schema(spark, tmp_path, tmp_out):
     m = run(spark, "top_callers", str(path), tmp_out, "j", fmt="json")
     rows = [tuple(r) for r in read_result(spark, m["output_path"], TOP_CALLERS_SCHEMA).collect()]
     assert rows == [("7", 3.75)] and m["input_record_count"] == 2
+
+
+def test_cli_check(spark, cdr_file, tmp_out, capsys):
+    from callstats.cli import main
+
+    run(spark, "revenue_recon", cdr_file, tmp_out, "c1")
+    rows = main(["check", tmp_out])
+    assert [(r["job_name"], r["run_id"], r["ok"]) for r in rows] == [("revenue_reconciliation", "c1", True)]
+    assert '"ok": true' in capsys.readouterr().out
+    with pytest.raises(Exception):  # a failed run: FAILURE manifest
+        run(spark, "top_callers", "/nonexistent/cdr.csv", tmp_out, "bad")
+    with pytest.raises(SystemExit):
+        main(["check", tmp_out])
+
