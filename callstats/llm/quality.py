@@ -30,10 +30,10 @@ STEPS = 3
 #: smaller groups are judged together; if they are still fewer than this, they
 #: are kept, for want of evidence.
 MIN_GROUP = 30
-#: Squared distance beyond which a document is rejected: the 1 - 1e-9 quantile
+#: Squared distance beyond which a document is rejected: the 1 - 1e-7 quantile
 #: of chi-square with 5 degrees of freedom, so that of the documents that
 #: follow their group's shape practically none is.
-CUTOFF = 51.0
+CUTOFF = 40.9
 #: Spread that is added to each dimension. A statistic that is nearly constant
 #: in a group (most documents repeat no line) would else reject every document
 #: that differs from it at all.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstats.llm import decontam, quality, sharding, simhash, toxicity, urlfilter, warc
+from callstats.llm import decontam, mixing, quality, secret_scan, sharding, simhash, stages, toxicity, urlfilter, warc
 from callstats.session import scratch_path
 
 
@@ -13,6 +13,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base findings and candidates the network accepts."""
+    docs = _table(spark, sf_dir, "documents")
+    net = secret_scan.train(secret_scan.labelled_findings(secret_scan.sample_texts(docs)))
+    return secret_scan.scan(docs, net, ["doc_id"])
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of the sources."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, stages.WEIGHTS, ["doc_id"])
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives and read back by the salvage reader."""
     path = scratch_path(spark, "warc")
@@ -62,6 +75,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
     "op6_url_filter": op6_url_filter,
@@ -71,7 +86,25 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
+_UNITS = mixing.units_of(stages.WEIGHTS)
+_PERIOD = ", ".join(f"('{s}', {j}, {slot}, {_UNITS[s]})" for s, j, slot in mixing.period_table(_UNITS))
+
 ORACLE_SQL = {
+    # One period of the schedule is a fixed table of the weights; the tests
+    # check it against the definition of the windows.
+    "op3_mixing": f"""
+WITH period(s, j, slot_in, n) AS (VALUES {_PERIOD}),
+streams AS (SELECT DISTINCT s FROM period),
+ranked AS (
+  SELECT doc_id, source, coalesce(s, '*') AS stream,
+         row_number() OVER (PARTITION BY coalesce(s, '*') ORDER BY doc_id NULLS FIRST) - 1 AS rank
+  FROM documents LEFT JOIN streams ON source = s
+), blocks AS (SELECT *, rank // {mixing.BLOCK_ROWS} AS block FROM ranked)
+SELECT doc_id, source, stream, block, (block // n) * {mixing.PERIOD} + slot_in AS slot,
+       (block * {mixing.PERIOD}) // n AS release, ((block + 1) * {mixing.PERIOD} + n - 1) // n AS deadline,
+       ((block // n) * {mixing.PERIOD} + slot_in) * {mixing.BLOCK_ROWS} + rank % {mixing.BLOCK_ROWS} AS position
+FROM blocks JOIN period ON stream = s AND block % n = j
+""",
     "op6_url_filter": r"""
 WITH u AS (
   SELECT page_id, coalesce(regexp_extract(url, '^.*?://(.*)$', 1, 's'), '') AS rest FROM pages

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from callstats.llm.common import file_place, ordered, with_place
 
 ROUNDS = 4
+#: Key of the production shuffle.
+SEED = 20240501
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -105,7 +107,7 @@ def _offset(placed: DataFrame, part: str, counts: dict) -> tuple[DataFrame, int]
     return joined.withColumn("row_number", F.col("_start") + F.col("_at")).drop("_start", "_at", part), start
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 20240501) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, seed: int = SEED) -> DataFrame:
     """Shard, slot, size and checksum of every document, without its text.
 
     Row numbers follow doc_id, then size, checksum and a 64-bit hash of the

@@ -249,22 +249,28 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, radius: int = 3, shard_points: int = SHARD_POINTS
+    docs: DataFrame,
+    shingle: int = 3,
+    radius: int = 3,
+    shard_points: int = SHARD_POINTS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, fp and component_id of every row of ``docs`` (doc_id, text).
+    """``keep`` columns (doc_id by default), fp, component and component_id of
+    every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id reachable over links of at most
-    ``radius`` differing bits, the document's own included. Equal fingerprints
-    are one point, so copies cost one pre-aggregated row each map task; texts
-    without words (NULL and empty too) share fingerprint 0. NULL doc_ids are
-    no candidates for component_id; a group of them only has a NULL one.
+    ``radius`` differing bits, the document's own included; component is the
+    smallest fingerprint. Equal fingerprints are one point, so copies cost one
+    pre-aggregated row each map task; texts without words (NULL and empty too)
+    share fingerprint 0. NULL doc_ids are no candidates for component_id; a
+    group of them only has a NULL one.
     """
-    hashed = materialize(fingerprints(docs, ["doc_id"], shingle=shingle))
+    hashed = materialize(fingerprints(docs, keep or ["doc_id"], shingle=shingle))
     points = materialize(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")))
     labels = components(near_links(points, radius, shard_points))
     grouped = points.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "label", F.coalesce("label", "fp")
+        "component", F.coalesce("label", "fp")
     )
-    lowest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_point = grouped.join(lowest, "label").select("fp", "component_id")
-    return hashed.join(by_point, "fp").select("doc_id", "fp", "component_id")
+    lowest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    by_point = grouped.join(lowest, "component").select("fp", "component", "component_id")
+    return hashed.join(by_point, "fp").select(*(keep or ["doc_id"]), "fp", "component", "component_id")
