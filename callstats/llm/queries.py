@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstats.llm import decontam, mixing, quality, secret_scan, sharding, simhash, stages, toxicity, urlfilter, warc
+from callstats.llm import decontam, mixing, pii, quality, secret_scan, sharding, simhash, stages, toxicity, urlfilter, warc
 from callstats.session import scratch_path
 
 
@@ -20,6 +20,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, net, ["doc_id"])
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base findings and candidates the trees accept."""
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.train(docs), ["doc_id"])
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix of the sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -76,6 +82,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
