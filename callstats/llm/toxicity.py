@@ -26,28 +26,25 @@ from callstats.llm.common import class_sample
 
 #: Bounds of the training sample: documents of each class, and characters of a
 #: text (longer ones are left out of training; every text is scored whole).
-SAMPLE_PER_CLASS = 3000
-MAX_TRAIN_CHARS = 20_000
+SAMPLE_PER_CLASS = 2000
+MAX_TRAIN_CHARS = 10_000
 #: The chain ends at a line end, and after this many tokens.
 MAX_CHAIN = 128
 BUCKETS = 1 << 18
+MASK = BUCKETS - 1
 TOKEN = re.compile(r"\w+")
 PREDICT_AT = 0.7
 
 
-def features(token: str) -> list[str]:
-    """The token's form in lower case: whole, its beginnings and its endings.
-    Beginnings and endings are marked as parts, so that a stem on its own and
-    the same stem with an ending are told apart."""
+def features(token: str) -> list[int]:
+    """Hashes of the token's form in lower case: whole, its beginnings and its
+    endings. Beginnings and endings are marked as parts, so that a stem on its
+    own and the same stem with an ending are told apart."""
     w = token.lower()
     out = ["=" + w]
-    out += [f"<{w[:k]}" for k in (4, 5, 6, 7, 8) if len(w) > k]
-    out += [f">{w[-k:]}" for k in (4, 6) if len(w) > k]
-    return out
-
-
-def bucket(feature: str) -> int:
-    return zlib.crc32(feature.encode("utf-8")) & (BUCKETS - 1)
+    out += ["<" + w[:k] for k in (4, 5, 6, 7, 8) if len(w) > k]
+    out += [">" + w[-k:] for k in (4, 6) if len(w) > k]
+    return [zlib.crc32(f.encode("utf-8")) for f in out]
 
 
 @dataclass
@@ -69,7 +66,7 @@ class Crf:
         if len(known) > 500_000:
             known.clear()
         for t in set(tokens).difference(known):
-            known[t] = self.bias + sum([weights[bucket(f)] for f in features(t)])
+            known[t] = self.bias + sum([weights[f & MASK] for f in features(t)])
         return np.fromiter(map(known.__getitem__, tokens), np.float64, len(tokens))
 
 
@@ -137,12 +134,12 @@ def aggregate(of_tokens: np.ndarray) -> tuple[float, float]:
     return np.log(top / (1 - top)), np.log(some / (1 - some))
 
 
-def toxic_features(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
+def toxic_features(docs: list[list[str]], toxic: np.ndarray) -> set[int]:
     """Features in at least 3 toxic documents that occur there far more often
     than chance (z above 4) and of whose documents at least 9 in 10 are toxic,
     weighted as if both classes were equally frequent."""
     with_it, with_toxic = Counter(), Counter()
-    known: dict[str, list[str]] = {}
+    known: dict[str, list[int]] = {}
     for tokens, is_toxic in zip(docs, toxic):
         seen = set()
         for t in set(tokens):
@@ -189,7 +186,7 @@ def train(texts: list[str], toxic: list[int], folds: list[int], epochs: int = 30
     first = np.cumsum(length) - length
     form_of, buckets = [], []
     for t, k in forms.items():
-        fs = [bucket(f) for f in features(t)]
+        fs = [f & MASK for f in features(t)]
         form_of += [k] * len(fs)
         buckets += fs
     form_of, buckets = np.array(form_of), np.array(buckets)
