@@ -32,7 +32,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("input_path", nargs="?", default=DEFAULT_INPUT)
     p.add_argument("--output-base", default=DEFAULT_OUTPUT)
     p.add_argument("--format", default=None, help="csv (default), parquet, json")
-    p.add_argument("--input-count", choices=INPUT_COUNTS, default="exact")
+    p.add_argument("--input-count", choices=INPUT_COUNTS, default=None, help="action on Parquet, else exact")
     p.add_argument(
         "--declared-order",
         action="store_true",
@@ -46,7 +46,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def job_params(args: argparse.Namespace) -> dict:
-    params: dict = {}
+    params: dict = {"input_count": args.input_count} if args.input_count else {}
     if args.job == "top_callers" and args.top is not None:
         params["n"] = args.top
     if args.job == "anomalous_calls":
@@ -61,11 +61,15 @@ def check(argv: list[str]) -> list[dict]:
     (manifest count, stored rows, ok); exits non-zero if any run is not ok."""
     p = argparse.ArgumentParser(prog="callstats check", description="Check every run's manifest against its output.")
     p.add_argument("output_base", nargs="?", default=DEFAULT_OUTPUT)
+    p.add_argument("--job", default=None, choices=sorted(JOBS), help="only this job's runs")
+    p.add_argument("--run-id", default=None, help="only runs with this id")
     args = p.parse_args(argv)
     spark = build_session("callstats-check")
-    rows = [r.asDict() for r in check_manifests(spark, args.output_base).orderBy("job_name", "run_id").collect()]
-    for r in rows:
-        print(json.dumps(r))
+    job_name = JOBS[args.job].job_name if args.job else None
+    rows = []
+    for r in check_manifests(spark, args.output_base, job_name, args.run_id).orderBy("job_name", "run_id").collect():
+        rows.append(r.asDict())
+        print(json.dumps(rows[-1]))
     if not rows or not all(r["ok"] for r in rows):
         raise SystemExit(1)
     return rows
@@ -84,7 +88,6 @@ def main(argv: list[str] | None = None) -> dict | list[dict]:
         args.output_base,
         args.run_id,
         fmt=args.format,
-        input_count=args.input_count,
         by_header=not args.declared_order,
         **job_params(args),
     )

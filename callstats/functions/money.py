@@ -5,21 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are summed as whole cents in a 64-bit integer: exact (no float32 or
-# double drift), independent of the order partial sums arrive in, and all
-# native arithmetic. Each amount is first rounded to the nearest cent, which
-# is exact for two-decimal amounts up to about 10^13. A sum beyond 2^63 cents
-# fails under ANSI mode rather than wrapping.
+# An amount is split into whole cents, hundred-millionths beyond them, and a
+# remainder. Cents and hundred-millionths are summed as 64-bit integers: exact,
+# independent of the order partial sums arrive in, and all native arithmetic.
+# The remainder is a double sum; it is exactly zero for amounts of up to eight
+# decimals.
 CENTS_PER_UNIT = 100
-
-
-def cents(col: str | Column) -> Column:
-    """Amount as a whole number of cents (long)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.rint(c * F.lit(CENTS_PER_UNIT)).cast("long")
+FINE_PER_UNIT = 100_000_000
+#: Larger amounts, NaN and infinities go to the remainder as they are.
+LARGEST = 1e12
+#: A double holds an amount to within this share of it; smaller remainders are
+#: the representation's, not the amount's.
+REPRESENTATION = 4.5e-16
 
 
 def exact_sum(col: str | Column) -> Column:
-    """Sum of a money column, exact to the cent, returned as double (the
-    double nearest the exact decimal total)."""
-    return F.sum(cents(col)) / F.lit(float(CENTS_PER_UNIT))
+    """Sum of a money column, as the double nearest the exact decimal total.
+
+    Amounts of up to eight decimals are summed exactly, finer parts as doubles.
+    As in a plain double sum, a NaN gives NaN and infinities stay infinite. A
+    group without a value gives NULL. Nothing here depends on ANSI mode: if a
+    sum leaves the 64-bit range, the plain double sum is returned.
+    """
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    plain = F.abs(c) < F.lit(LARGEST)
+    cents = F.when(plain, F.rint(c * CENTS_PER_UNIT))
+    beyond = c - cents / F.lit(float(CENTS_PER_UNIT))
+    fine = F.rint(beyond * float(FINE_PER_UNIT))
+    left = beyond - fine / F.lit(float(FINE_PER_UNIT))
+    rest = F.when(plain, F.when(F.abs(left) > F.abs(c) * REPRESENTATION, left).otherwise(0.0)).otherwise(c)
+    whole, small, tail = F.try_sum(cents.try_cast("long")), F.try_sum(fine.try_cast("long")), F.sum(rest)
+    # Without parts beyond the cent, one division; else one exact decimal.
+    scale = F.lit(FINE_PER_UNIT // CENTS_PER_UNIT).cast("decimal(7,0)")
+    exact = whole.cast("decimal(19,0)") * scale + small.cast("decimal(19,0)")
+    total = F.when(small == 0, whole / F.lit(float(CENTS_PER_UNIT))).otherwise(
+        (exact * F.lit("0.00000001").cast("decimal(8,8)")).cast("double")
+    )
+    return F.when(whole.isNull(), F.sum(c)).otherwise(F.when(tail == 0, total).otherwise(total + tail))

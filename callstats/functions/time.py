@@ -30,6 +30,10 @@ FORMAT_SHAPES = {
 # the cost. Other text still goes through the formatters.
 CDR_ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
 
+# Text with a date part in any other ISO form: a space for the T, a zone or an
+# offset, more fraction digits. Read with the built-in cast, offsets included.
+ISO_DATE_PART = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ]|\s*$)"
+
 # Fixed value: layout of timestamps written as text in results.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -39,6 +43,10 @@ def parse_timestamp(
 ) -> Column:
     """First format that parses wins; text no format accepts gives NULL.
 
+    With the CDR layouts any other ISO form of a date and time is accepted
+    too (``ISO_DATE_PART``): a file whose times a typed scan would read must
+    not lose its rows. Text without zone or offset is in the session zone.
+
     ``try_to_timestamp`` keeps this valid under ANSI mode (on by default in
     Spark 4), where ``to_timestamp`` would fail the job on the first bad row.
     With the CDR layouts and ``fast``, canonical text takes the built-in cast
@@ -54,6 +62,8 @@ def parse_timestamp(
             parsed = F.when(n.between(lo, hi) & (F.substring(c, t_at, 1) == F.lit("T")), parsed)
         attempts.append(parsed)
     by_format = F.coalesce(*attempts)
+    if tuple(formats) == CDR_TIME_FORMATS:
+        by_format = F.coalesce(by_format, F.when(c.rlike(ISO_DATE_PART), c.try_cast("timestamp")))
     if fast and tuple(formats) == CDR_TIME_FORMATS:
         return F.when(c.rlike(CDR_ISO_SHAPE), c.try_cast("timestamp")).otherwise(by_format)
     return by_format

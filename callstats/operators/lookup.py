@@ -6,40 +6,49 @@ distinct keys, so it is never broadcast blindly:
 1. it is materialised once in the shared checkpoint folder (lineage cut, so a
    lost executor does not recompute the aggregate, and the scan gets its own
    shuffle exchange that AQE can split when one key is hot);
-2. its row count is checked;
-3. it is broadcast only below ``max_broadcast_rows``; above that the join is a
+2. its row count and the bytes of its keys are checked;
+3. it is broadcast only below both bounds; above them the join is a
    sort-merge join and AQE's skew-join handling splits any hot key on the row
    side into several tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callstats.operators.aggregates import heavy_group_stats
-from callstats.operators.materialize import materialize_counted
+from callstats.operators.materialize import materialize
 
-# About 64 bytes per lookup row once hashed: 500k rows is ~32 MB per executor.
+# Bounds of a broadcast lookup: rows, and bytes (64 a row and its texts').
 DEFAULT_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def sized_lookup(
-    lookup: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialized: bool = False
-) -> tuple[DataFrame, bool]:
-    """Materialise ``lookup`` and mark it for broadcast if it is small enough.
+def size_columns(df: DataFrame) -> list[Column]:
+    """Aggregates ``rows`` and ``bytes`` (an upper estimate once hashed) of a lookup."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    text_bytes = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts), F.lit(0))
+    rows = F.count(F.lit(1))
+    return [rows.alias("rows"), (rows * 64 + text_bytes).alias("bytes")]
 
-    ``materialized=True`` skips the write for a frame already read from the
-    shared folder. Returns the frame to join with and whether it was marked
-    for broadcast.
-    """
-    small, rows = (lookup, lookup.count()) if materialized else materialize_counted(lookup)
-    fits = rows <= max_broadcast_rows
-    # Above the bound the join is pinned to sort-merge, so Spark's own size
-    # estimate cannot broadcast what the count ruled out.
+
+def sided(small: DataFrame, rows: int, size: int, max_broadcast_rows: int) -> tuple[DataFrame, bool]:
+    """``small`` marked for broadcast if both bounds hold, else for sort-merge,
+    so that Spark's own size estimate cannot broadcast what the count ruled out."""
+    fits = rows <= max_broadcast_rows and size <= MAX_BROADCAST_BYTES
     return (F.broadcast(small) if fits else small.hint("merge")), fits
 
 
+def sized_lookup(lookup: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Materialise ``lookup`` and mark it for broadcast if it is small enough,
+    by rows and by bytes. Returns the frame to join with and whether it was
+    marked for broadcast."""
+    small = materialize(lookup)
+    found = small.agg(*size_columns(small)).first()
+    return sided(small, found["rows"], found["bytes"], max_broadcast_rows)
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,

@@ -17,8 +17,11 @@ small enough to broadcast: the rows then never move.
 
 ``strategy="auto"``  stats broadcast when their row count is small, otherwise
                      a sort-merge join that AQE skew-splits on the row side.
-``strategy="split"`` hot keys never move: keys above a bounded threshold get a
-                     broadcast join, all other rows the ``auto`` join.
+``strategy="split"`` as ``auto`` while the stats can be broadcast; beyond that the
+                     keys above ``heavy_threshold`` rows (if they are at most
+                     ``max_heavy_keys``) are judged against their own broadcast
+                     and do not move, and the other rows take the sort-merge
+                     join. Either way the input is read twice.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, sized_lookup
+from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, sided, size_columns
 from callstats.operators.materialize import materialize
 from callstats.schema import HEAVY_THRESHOLD, SIGMAS
 
@@ -47,28 +50,45 @@ def can_exceed(n: Column, k: float) -> Column:
     return (n - F.lit(1)) > F.lit(k * (1 - 1e-9)) * F.sqrt(n.cast("double"))
 
 
+# Names of the statistics while they are joined to the rows, whose columns may
+# have any name.
+MEAN, SPREAD = "_zscore_mean", "_zscore_spread"
+
+
 def _stats(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(value).alias("_n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("stddev"),
+        F.avg(value).alias(MEAN),
+        F.stddev_samp(value).alias(SPREAD),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
     )
 
 
 def _deviates(value: str, k: float) -> Column:
-    return F.abs(F.col(value) - F.col("mean")) > F.lit(k) * F.col("stddev")
+    return F.abs(F.col(value) - F.col(MEAN)) > F.lit(k) * F.col(SPREAD)
 
 
 def _candidates(k: float) -> Column:
     """Keys with at least one outlier: spread, enough values, and an extreme
     value that passes the same test the rows get."""
-    spread = (F.col("stddev") > F.lit(0.0)) & can_exceed(F.col("_n"), k)
+    spread = (F.col(SPREAD) > F.lit(0.0)) & can_exceed(F.col("_n"), k)
     return spread & (_deviates("_max", k) | _deviates("_min", k))
 
 
+def _loosest(k: float) -> list[Column]:
+    """Aggregates ``low`` and ``high`` of the candidates: every outlier lies below
+    the one or above the other. The margin covers float rounding."""
+    reach = F.lit(k) * F.col(SPREAD)
+    margin = (F.abs(F.col(MEAN)) + reach) * 1e-9
+    of = _candidates(k)
+    return [
+        F.max(F.when(of, F.col(MEAN) - reach + margin)).alias("low"),
+        F.min(F.when(of, F.col(MEAN) + reach - margin)).alias("high"),
+    ]
+
+
 def zscore_outliers(
     df: DataFrame,
     key: str,
@@ -80,11 +100,13 @@ def zscore_outliers(
     max_heavy_keys: int = DEFAULT_MAX_HEAVY_KEYS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     input_rows: Observation | None = None,
+    out_mean: str = "mean",
+    out_stddev: str = "stddev",
 ) -> DataFrame:
     """Rows of ``df`` more than ``k`` sample stddevs from their key's mean.
 
-    Returns ``key``, the ``keep`` columns, ``value``, ``mean`` and ``stddev``
-    (unrounded). Rows with a NULL key or value are never outliers.
+    Returns ``key``, the ``keep`` columns, ``value``, ``out_mean`` and
+    ``out_stddev`` (unrounded). Rows with a NULL key or value are never outliers.
 
     ``input_rows`` (metric ``rows``) receives the number of rows of ``df``,
     NULL keys included. It is summed from the per-key counts of the stats
@@ -96,52 +118,45 @@ def zscore_outliers(
     keep = [c for c in (keep or []) if c not in (key, value)]
     cols = df.select(key, *keep, value)
     rows = cols.where(F.col(key).isNotNull())
-    out_cols = [key, *keep, value, "mean", "stddev"]
 
     # Stats over every row; the NULL-key group only adds to the row total.
     # The observation sits between the aggregate and the key filter, so the
     # filter stays above it and the total sees all rows.
     all_stats = _stats(cols, key, value)
-    if strategy == "split" and input_rows is None:
-        input_rows = Observation("split_total_rows")
     if input_rows is not None:
         all_stats = all_stats.observe(input_rows, F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))
-    keyed = all_stats.where(F.col(key).isNotNull())
-
-    if strategy == "auto":
-        stats = keyed.where(_candidates(k)).select(key, "mean", "stddev")
-        side, _ = sized_lookup(stats, max_broadcast_rows)
-        return rows.join(side, key).where(_deviates(value, k)).select(*out_cols)
-
-    # split: the heavy cut-off is raised until fewer than ``max_heavy_keys``
-    # keys can pass it (keys above total / max_heavy_keys rows are fewer than
-    # max_heavy_keys), so the broadcast side has a proven bound whatever the
-    # data. The total is observed over all keys by the same job that
-    # materialises the stats of the keys that matter: candidates, and keys
-    # above the threshold (every key above the final cut is among them).
-    # The same job counts the candidate keys: a bound on the light side that
-    # spares a count of it whenever the bound already fits the broadcast.
-    found = Observation("split_candidates")
-    kept = keyed.where(_candidates(k) | (F.col("_rows") > F.lit(heavy_threshold)))
-    stats = materialize(kept.observe(found, F.count_if(_candidates(k)).alias("candidates")))
-    try:
-        total_rows = int(input_rows.get["rows"] or 0)
-        candidates = int(found.get["candidates"] or 0)
-    except Exception:  # metrics planned away: the input was empty
-        total_rows, candidates = 0, 0
-    cut = max(int(heavy_threshold), total_rows // int(max_heavy_keys))
-    is_heavy = F.col("_rows") > F.lit(cut)
-
-    heavy = stats.where(is_heavy)
-    heavy_stats = heavy.where(_candidates(k)).select(key, "mean", "stddev")
-    heavy_part = rows.join(F.broadcast(heavy_stats), key).where(_deviates(value, k))
-
-    light_stats = stats.where(~is_heavy & _candidates(k)).select(key, "mean", "stddev")
-    if candidates <= max_broadcast_rows:
-        light_side = F.broadcast(light_stats)
+    is_heavy = F.col("_rows") > F.lit(int(heavy_threshold))
+    wanted = _candidates(k) | is_heavy if strategy == "split" else _candidates(k)
+    stats = materialize(all_stats.where(F.col(key).isNotNull()).where(wanted))
+    found = stats.agg(*size_columns(stats), F.count_if(is_heavy).alias("heavy"), *_loosest(k)).first()
+    # Literal bounds on the value: they reach the scan, prune its row groups and
+    # keep most rows out of a shuffle. Which rows are outliers is decided below.
+    if found["low"] is None:
+        rows = rows.where(F.lit(False))
     else:
-        light_side, _ = sized_lookup(light_stats, max_broadcast_rows, materialized=True)
-    light_rows = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
-    light_part = light_rows.join(light_side, key).where(_deviates(value, k))
+        rows = rows.where((F.col(value) < F.lit(found["low"])) | (F.col(value) > F.lit(found["high"])))
 
-    return heavy_part.select(*out_cols).unionByName(light_part.select(*out_cols))
+    lookup = stats.where(_candidates(k)).select(key, MEAN, SPREAD)
+    side, fits = sided(lookup, found["rows"], found["bytes"], max_broadcast_rows)
+    if fits or strategy == "auto" or found["heavy"] > max_heavy_keys:
+        hits = rows.join(side, key).where(_deviates(value, k))
+    else:
+        # Heavy keys are few: their statistics are broadcast and their rows
+        # judged in place, so only outliers of theirs reach the shuffle.
+        heavy = stats.where(is_heavy).select(
+            F.col(key).alias("_heavy"), F.when(_candidates(k), F.col(MEAN)).alias(MEAN), F.col(SPREAD)
+        )
+        tagged = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left")
+        judged = tagged.where(F.col("_heavy").isNull() | _deviates(value, k)).drop("_heavy")
+        light = stats.where(~is_heavy & _candidates(k)).select(
+            F.col(key).alias("_light"), F.col(MEAN).alias("_light_mean"), F.col(SPREAD).alias("_light_spread")
+        )
+        both = judged.join(light.hint("merge"), F.col(key) == F.col("_light"), "left")
+        hits = both.select(
+            key,
+            *keep,
+            value,
+            F.coalesce(MEAN, "_light_mean").alias(MEAN),
+            F.coalesce(SPREAD, "_light_spread").alias(SPREAD),
+        ).where(_deviates(value, k))
+    return hits.select(key, *keep, value, F.col(MEAN).alias(out_mean), F.col(SPREAD).alias(out_stddev))

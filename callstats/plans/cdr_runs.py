@@ -8,8 +8,7 @@ the published result, read back with the job's output schema. The
 runs and return the last snapshot.
 
 Column roles of the derived CDR rows: ``caller_id`` is ``USER_<user_id>``,
-``receiver_id`` is ``USER_<props.k>``, ``duration_sec`` is the whole part of
-``value``, ``tower_id`` is ``event_type``, ``timestamp`` is ``ts`` as ISO text
+``receiver_id`` is ``USER_<props.k>``, ``duration_sec`` is ``value``, ``tower_id`` is ``event_type``, ``timestamp`` is ``ts`` as ISO text
 to the second (the generator's layout), ``call_type`` is ``event_type`` in
 upper case and ``charge_amount`` is ``value``.
 """
@@ -55,7 +54,7 @@ def cdr_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     cdr = ev.select(
         F.concat(F.lit("USER_"), F.col("user_id").cast("string")).alias("caller_id"),
         F.concat(F.lit("USER_"), F.get_json_object("props", "$.k")).alias("receiver_id"),
-        F.floor("value").cast("int").alias("duration_sec"),
+        F.col("value").alias("duration_sec"),
         F.col("event_type").alias("tower_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.upper("event_type").alias("call_type"),

@@ -31,6 +31,7 @@ from callstats.schema import (
     Roles,
 )
 from callstats.sinks.manifest import manifest_record, write_manifest
+from callstats.sinks.publish import discard, publish, staging_of
 from callstats.sinks.results import write_result
 from callstats.sources.cdr import read_table
 
@@ -102,14 +103,16 @@ def anomalous_calls(
         strategy=strategy,
         heavy_threshold=heavy_threshold,
         input_rows=input_rows,
+        out_mean="_mean",
+        out_stddev="_stddev",
         **options,
     )
     return hits.select(
         F.col(roles.caller).alias("caller_id"),
         as_text(ts_type, roles.timestamp).alias("call_timestamp"),
         F.col(roles.duration).alias("duration_sec"),
-        round_exact("mean", 2).alias("user_mean_duration"),
-        round_exact("stddev", 2).alias("user_stddev"),
+        round_exact("_mean", 2).alias("user_mean_duration"),
+        round_exact("_stddev", 2).alias("user_stddev"),
     )
 
 
@@ -192,7 +195,11 @@ def run_job(
       nearly free on Parquet, a second full read on CSV.
     - ``"none"``: not counted (``input_record_count`` is null).
 
-    On failure a FAILURE manifest is written and the error re-raised.
+    Result and manifest are written beside their place and renamed into it
+    together, so a failed run leaves an earlier result of the run as it was. On
+    failure a FAILURE manifest with the input count, if it is known by then, is
+    written and the error re-raised. The session's time zone is UTC while the
+    job runs; nothing depends on ANSI mode.
     """
     if input_count not in INPUT_COUNTS:
         raise ValueError(f"input_count must be one of {INPUT_COUNTS}")
@@ -201,9 +208,13 @@ def run_job(
     job = JOBS[name]
     run_id = resolve_run_id(run_id)
     run_dir = f"{output_base.rstrip('/')}/{job.job_name}/{run_id}"
+    staged = staging_of(run_dir)
+    rows_in = None
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    # Hours and times without a zone are UTC, whatever session runs the job.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         source = df() if callable(df) else df
-        rows_in = None
         gather = job.one_file
         if input_count == "exact":
             obs_in = Observation("input_rows")
@@ -215,19 +226,23 @@ def run_job(
             result = job.build(source, roles, **params)
         # Published in the job's fixed layout whatever the input types (a
         # projection in the same stage: the metrics stay where they are).
-        output_count = write_result(conform(result, job.schema), run_dir, single_file=gather or False)
+        output_count = write_result(conform(result, job.schema), staged, single_file=gather or False)
         if input_count == "exact":
             rows_in = observed_rows(obs_in, source)
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in, output_count, "SUCCESS")
-        write_manifest(spark, record, run_dir)
+        write_manifest(spark, record, staged)
+        publish(spark, staged, run_dir)
         return record
     except Exception:
-        record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", 0, 0, "FAILURE")
+        record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in or 0, 0, "FAILURE")
         try:
+            discard(spark, staged)
             write_manifest(spark, record, run_dir)
         except Exception:  # the original error matters more than the manifest's
             pass
         raise
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def run(
@@ -243,10 +258,15 @@ def run(
 ) -> dict:
     """Read ``input_uri`` (CDR CSV by default) and run job ``name`` on it.
 
-    CSV columns are matched by header name unless ``by_header=False`` (see
-    ``read_cdr``).
+    Without ``fmt`` the suffix decides: ``.parquet``, ``.json``, else CSV. CSV
+    columns are matched by header name unless ``by_header=False`` (see
+    ``read_cdr``). Parquet input is counted from its footers, text input in the
+    job's own pass, unless ``input_count`` says otherwise.
     """
+    fmt = fmt or next((f for f in ("parquet", "json") if input_uri.rstrip("/").endswith(f".{f}")), "csv")
+    params.setdefault("input_count", "action" if fmt == "parquet" else "exact")
+
     def source() -> DataFrame:
-        return read_table(spark, input_uri, fmt or "csv", by_header=by_header)
+        return read_table(spark, input_uri, fmt, by_header=by_header)
 
     return run_job(spark, name, source, output_base, run_id, input_path=input_uri, roles=roles, **params)

@@ -6,11 +6,9 @@ match the Spark queries exactly.
 
 from __future__ import annotations
 
-_TEXT_TS = """case when event_id % 7 = 0 then strftime(ts, '%Y/%m/%d %H:%M:%S')
-       when event_id % 2 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
-       else strftime(ts, '%Y-%m-%dT%H:%M:%S') end"""
-
-_PARSED = f"try_strptime({_TEXT_TS}, ['%Y-%m-%dT%H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S'])"
+# Every shape the queries render is the event's own time, but for event_id % 7
+# = 0, which is in no accepted layout.
+_HOUR = "cast(hour(case when event_id % 7 = 0 then null else ts end) as int)"
 
 _OUTLIERS = """
 with st as (
@@ -30,7 +28,7 @@ _TOP_ORDERS_ROWS = "least(100, (select count(distinct o_custkey) from orders))"
 
 # Jobs run on the CDR CSV derived from ``events`` (see plans/cdr_runs.py).
 _CDR = """cdr as (
-  select 'USER_' || user_id as caller_id, cast(floor(value) as int) as duration_sec,
+  select 'USER_' || user_id as caller_id, value as duration_sec,
          event_type as tower_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as call_timestamp,
          ts, value as charge_amount
   from events
@@ -54,7 +52,7 @@ st as (
   select caller_id as c, avg(duration_sec) as m, stddev_samp(duration_sec) as s
   from cdr group by caller_id
 )
-select caller_id, call_timestamp, duration_sec,
+select caller_id, call_timestamp, cast(trunc(duration_sec) as bigint) as duration_sec,
        cast(printf('%.2f', m) as double) as user_mean_duration, cast(printf('%.2f', s) as double) as user_stddev
 from cdr join st on caller_id = c
 where s > 0 and abs(duration_sec - m) > 3 * s
@@ -140,11 +138,11 @@ select event_id, u is not null as is_heavy, round(coalesce(m, 0.0), 6) as mean
 from events left join h on user_id = u
 """,
     "parsed_hour": f"""
-select event_id, cast(hour({_PARSED}) as int) as hour_of_day from events
+select event_id, {_HOUR} as hour_of_day from events
 """,
     "parsed_heatmap": f"""
-select event_type as tower_id, cast(hour({_PARSED}) as int) as hour_of_day, count(*) as call_count
-from events where {_PARSED} is not null group by 1, 2
+select event_type as tower_id, {_HOUR} as hour_of_day, count(*) as call_count
+from events where event_id % 7 <> 0 and ts is not null group by 1, 2
 """,
     "typed_projection": """
 select user_id as caller_id, cast(floor(value) as int) as duration_sec,
@@ -152,6 +150,22 @@ select user_id as caller_id, cast(floor(value) as int) as duration_sec,
 from events
 """,
     "input_rowcount": "select count(*) as input_record_count from events",
+    "revenue_fractional": """
+select cast(sum(cast(value / 8 as decimal(38,6))) as double) as total_revenue from events
+""",
+    "top_spend_fractional": """
+select user_id as caller_id, cast(sum(cast(value / 8 as decimal(38,6))) as double) as total_spend
+from events group by user_id order by total_spend desc nulls last, caller_id limit 100
+""",
+    "csv_null_keys": """
+select case user_id % 4 when 0 then null when 1 then 'NULL' when 2 then 'a' || chr(10) || 'b' else '' end as caller_id,
+       cast(sum(cast(value as decimal(18,2))) as double) as total_spend
+from events group by 1
+""",
+    "failed_run": """
+select 'revenue_reconciliation' as job_name, 'r0' as run_id, (select count(*) from events) as input_record_count,
+       'FAILURE' as status, 1 as actual_rows, false as ok
+""",
     "csv_roundtrip": """
 select o_custkey as caller_id,
        cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total_spend

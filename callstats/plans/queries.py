@@ -13,12 +13,14 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callstats.functions.time import ISO_MICROS
 from callstats.operators.aggregates import group_stats, heavy_group_stats, heavy_hitters
 from callstats.operators.lookup import stats_lookup as stats_lookup_op
 from callstats.operators.partitioning import key_bucket as key_bucket_op
 from callstats.operators.partitioning import repartition_by_key
+from callstats.operators.projection import conform
 from callstats.plans.cdr_runs import CDR_QUERIES, TEST_HEAVY_THRESHOLD
 from callstats.plans.jobs import (
     anomalous_calls,
@@ -110,16 +112,23 @@ def stats_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``ts`` rendered as CDR text in three shapes: with a
-    microsecond fraction, without one, and in a layout neither format accepts.
-    The shape depends on ``event_id``; every row is kept.
+    """``events`` with ``ts`` rendered as text in seven shapes, by ``event_id``:
+    a layout no format accepts, microseconds, a space for the T, ``Z``, an offset
+    (the same time, two hours ahead), nine fraction digits, and whole seconds.
+    Every row is kept.
     """
     ev = table(spark, sf_dir, "events")
-    text = (
-        F.when(F.col("event_id") % 7 == 0, F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
-        .when(F.col("event_id") % 2 == 0, F.date_format("ts", ISO_MICROS))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-    )
+    seconds = "yyyy-MM-dd'T'HH:mm:ss"
+    shapes = [
+        F.date_format("ts", "yyyy/MM/dd HH:mm:ss"),
+        F.date_format("ts", ISO_MICROS),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        F.concat(F.date_format("ts", seconds), F.lit("Z")),
+        F.concat(F.date_format(F.expr("ts + interval 2 hours"), seconds), F.lit("+02:00")),
+        F.concat(F.date_format("ts", ISO_MICROS), F.lit("123")),
+        F.date_format("ts", seconds),
+    ]
+    text = F.coalesce(*[F.when(F.col("event_id") % 7 == k, shape) for k, shape in enumerate(shapes)])
     return ev.withColumn("ts", text)
 
 
@@ -133,16 +142,54 @@ def parsed_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("user_id").alias("caller_id"),
-        F.floor("value").cast("int").alias("duration_sec"),
-        F.col("value").cast("float").alias("charge_amount"),
-    )
+    layout = T.StructType().add("caller_id", T.LongType()).add("duration_sec", T.IntegerType()).add("charge_amount", T.FloatType())
+    names = {"caller_id": "user_id", "duration_sec": "value", "charge_amount": "value"}
+    return conform(table(spark, sf_dir, "events"), layout, names)
 
 
 def input_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("input_record_count"))
+    """The input count a job takes in its own pass, from the run's manifest."""
+    base = scratch_path(spark, "runs")
+    run_job(spark, "revenue_recon", table(spark, sf_dir, "events"), base, "r0", roles=EVENT_ROLES)
+    return read_manifests(spark, base).select("input_record_count")
+
+
+def revenue_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select((F.col("value") / 8).alias("value"))
+    return revenue_recon(ev, EVENT_ROLES)
+
+
+def top_spend_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("user_id", (F.col("value") / 8).alias("value"))
+    return top_callers(ev, EVENT_ROLES)
+
+
+def csv_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend of four keys, written and read back: NULL, the text NULL, a text
+    with a line break and an empty text."""
+    of = F.col("user_id") % 4
+    key = F.when(of == 1, "NULL").when(of == 2, "a\nb").when(of == 3, "")
+    result = top_callers(table(spark, sf_dir, "events").withColumn("user_id", key), EVENT_ROLES)
+    path = scratch_path(spark, "csv-null-keys")
+    write_result(result, path, single_file=True)
+    return read_result(spark, path, result.schema)
+
+
+def failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails over an earlier one: the earlier result still stands,
+    and the check reports the failure."""
+    base = scratch_path(spark, "runs")
+    ev = table(spark, sf_dir, "events")
+    run_job(spark, "revenue_recon", ev, base, "r0", roles=EVENT_ROLES)
+    bad = ev.withColumn("value", F.when(F.col("value").isNotNull(), F.raise_error(F.lit("unreadable"))).cast("double"))
+    try:
+        run_job(spark, "revenue_recon", bad, base, "r0", roles=EVENT_ROLES, input_count="action")
+    except Exception as error:
+        if "unreadable" not in str(error):
+            raise
+    checked = check_manifests(spark, base, "revenue_reconciliation", "r0").select("job_name", "run_id", "actual_rows", "ok")
+    manifests = read_manifests(spark, base).select("job_name", "run_id", "input_record_count", "status")
+    return manifests.join(checked, ["job_name", "run_id"])
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +248,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "typed_projection": typed_projection,
     "input_rowcount": input_rowcount,
     "csv_roundtrip": csv_roundtrip,
+    "csv_null_keys": csv_null_keys,
+    "failed_run": failed_run,
+    "revenue_fractional": revenue_fractional,
+    "top_spend_fractional": top_spend_fractional,
     "run_manifest": run_manifest,
     "manifest_check": manifest_check,
     "key_bucket": key_bucket,

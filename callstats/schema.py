@@ -17,7 +17,7 @@ CDR_SCHEMA = T.StructType(
     [
         T.StructField("caller_id", T.StringType(), True),
         T.StructField("receiver_id", T.StringType(), True),
-        T.StructField("duration_sec", T.IntegerType(), True),
+        T.StructField("duration_sec", T.DoubleType(), True),
         T.StructField("tower_id", T.StringType(), True),
         T.StructField("timestamp", T.StringType(), True),
         T.StructField("call_type", T.StringType(), True),
@@ -45,7 +45,7 @@ ANOMALY_SCHEMA = T.StructType(
     [
         T.StructField("caller_id", T.StringType(), True),
         T.StructField("call_timestamp", T.StringType(), True),
-        T.StructField("duration_sec", T.IntegerType(), True),
+        T.StructField("duration_sec", T.LongType(), True),
         T.StructField("user_mean_duration", T.DoubleType(), True),
         T.StructField("user_stddev", T.DoubleType(), True),
     ]

@@ -60,7 +60,7 @@ def shared_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir().rstrip("/")
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="callstats-ckpt-"))
         return sc.getCheckpointDir().rstrip("/")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

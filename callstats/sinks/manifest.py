@@ -52,36 +52,46 @@ def write_manifest(spark: SparkSession, record: dict, run_dir: str) -> str:
     return path
 
 
-def read_manifests(spark: SparkSession, output_base: str) -> DataFrame:
-    """Every manifest under ``{output_base}/{job}/{run_id}/``."""
-    return spark.read.schema(MANIFEST_SCHEMA).json(f"{output_base.rstrip('/')}/*/*/{MANIFEST_DIR}")
+def _runs(output_base: str, job_name: str | None, run_id: str | None) -> str:
+    return f"{output_base.rstrip('/')}/{job_name or '*'}/{run_id or '*'}"
 
 
-def check_manifests(spark: SparkSession, output_base: str) -> DataFrame:
+def read_manifests(
+    spark: SparkSession, output_base: str, job_name: str | None = None, run_id: str | None = None
+) -> DataFrame:
+    """Manifests under ``{output_base}/{job}/{run_id}/``: all, or those of one
+    job, one run id or both."""
+    return spark.read.schema(MANIFEST_SCHEMA).json(f"{_runs(output_base, job_name, run_id)}/{MANIFEST_DIR}")
+
+
+def check_manifests(
+    spark: SparkSession, output_base: str, job_name: str | None = None, run_id: str | None = None
+) -> DataFrame:
     """One row per run: manifest count, rows actually stored, and whether the
     run succeeded with matching counts.
 
-    Stored rows are counted in one distributed pass over every run's output
-    (one text line per CSV record: result values hold no line breaks). Lines
-    are counted per file first, so the run's name is parsed once per file,
-    not once per line.
+    ``job_name`` and ``run_id`` go into the paths, so a check of one run reads
+    that run only. CSV records are counted, which may span lines, in one
+    distributed pass, per file first, so the run's name is parsed once a file.
     """
-    base = output_base.rstrip("/")
-    manifests = read_manifests(spark, base)
+    manifests = read_manifests(spark, output_base, job_name, run_id)
     run_of_file = r"([^/]+)/([^/]+)/[^/]+$"
     per_file = (
-        spark.read.text(f"{base}/*/*/")
+        spark.read.schema("first string")
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .csv(f"{_runs(output_base, job_name, run_id)}/")
         .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("lines"))
+        .agg(F.count(F.lit(1)).alias("records"))
     )
     stored = (
         per_file.select(
             F.regexp_extract("file", run_of_file, 1).alias("job_name"),
             F.regexp_extract("file", run_of_file, 2).alias("run_id"),
-            "lines",
+            "records",
         )
         .groupBy("job_name", "run_id")
-        .agg(F.sum("lines").alias("actual_rows"))
+        .agg(F.sum("records").alias("actual_rows"))
     )
     joined = manifests.join(stored, ["job_name", "run_id"], "left")
     actual = F.coalesce(F.col("actual_rows"), F.lit(0)).cast("long")

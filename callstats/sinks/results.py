@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from callstats.sources.cdr import NULL_TEXT
+from callstats.sources.cdr import null_text, read_result
 
 
 def write_result(df: DataFrame, uri: str, single_file: bool | str = False) -> int:
@@ -32,10 +32,10 @@ def write_result(df: DataFrame, uri: str, single_file: bool | str = False) -> in
     (
         out.write.mode("overwrite")
         .option("header", False)
-        .option("nullValue", NULL_TEXT)
+        .option("nullValue", null_text(df.schema))
         .csv(uri)
     )
     try:
         return int(obs.get["rows"])
     except Exception:  # metrics node planned away (empty input): count what was written
-        return df.sparkSession.read.text(uri).count()
+        return read_result(df.sparkSession, uri, df.schema).count()

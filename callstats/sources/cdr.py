@@ -7,11 +7,17 @@ from pyspark.sql import types as T
 
 from callstats.schema import CDR_SCHEMA
 
-# Fixed value: how NULL is written in result CSVs, so a one-row result whose
-# only column is NULL still writes a line.
+# Fixed value: how NULL is written in a result of one column, so that it still
+# writes a line. Results of several columns leave the field empty, which is
+# told apart from an empty text, written as two quotes.
 NULL_TEXT = "NULL"
 
 
+def null_text(schema: T.StructType) -> str:
+    """How NULL is written in a result CSV with this schema."""
+    return NULL_TEXT if len(schema.fields) == 1 else ""
+
+
 def header_schema(spark: SparkSession, path: str | list[str], schema: T.StructType = CDR_SCHEMA) -> T.StructType:
     """``schema``'s types laid out in the order of the input's header line.
 
@@ -81,5 +87,9 @@ def read_table(
 
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A headerless result CSV written by ``write_result``."""
-    return spark.read.schema(schema).option("header", False).option("nullValue", NULL_TEXT).csv(path)
+    """A headerless result CSV written by ``write_result``; texts may hold line
+    breaks."""
+    reader = spark.read.schema(schema).option("header", False).option("multiLine", True)
+    # An empty field is NULL whatever nullValue says; a value of "" would also
+    # turn the two quotes of an empty text into NULL.
+    return reader.option("nullValue", null_text(schema) or "\0").csv(path)

@@ -5,8 +5,9 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from callstats.plans.jobs import JOBS, resolve_run_id, run
+from callstats.plans.jobs import JOBS, resolve_run_id, run, run_job
 from callstats.schema import ANOMALY_SCHEMA, HEATMAP_SCHEMA, REVENUE_SCHEMA, TOP_CALLERS_SCHEMA
 from callstats.sinks.manifest import check_manifests, read_manifests
 from callstats.sources.cdr import read_cdr, read_result
@@ -231,7 +232,7 @@ def test_header_names_match_regardless_of_case(spark, tmp_path):
         f.write(HEADER.upper() + "\n")
         f.write("U1,U2,60,T1,2023-10-01T10:00:00,VOICE,1.5\n")
     df = read_cdr(spark, str(path))
-    assert dict(df.dtypes) == {"caller_id": "string", "receiver_id": "string", "duration_sec": "int",
+    assert dict(df.dtypes) == {"caller_id": "string", "receiver_id": "string", "duration_sec": "double",
                                "tower_id": "string", "timestamp": "string", "call_type": "string",
                                "charge_amount": "double"}
     assert df.first()["duration_sec"] == 60
@@ -261,3 +262,67 @@ def test_cli_check(spark, cdr_file, tmp_out, capsys):
     with pytest.raises(SystemExit):
         main(["check", tmp_out])
 
+
+
+def test_fractional_and_large_durations(spark, tmp_path, tmp_out):
+    lines = [f"U1,U2,{60 + (i % 3) / 2},T1,2023-10-01T10:00:00,VOICE,1.0" for i in range(60)]
+    path = write_csv(str(tmp_path / "cdr.csv"), [*lines, "U1,U2,3000000000.75,T1,2023-10-01T10:00:00,VOICE,1.0"])
+    m = run(spark, "anomalous_calls", path, tmp_out, "r")
+    rows = read_result(spark, m["output_path"], ANOMALY_SCHEMA).collect()
+    assert [r["duration_sec"] for r in rows] == [3_000_000_000]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_jobs_do_not_depend_on_the_session(spark, tmp_path, tmp_out, ansi):
+    """UTC hours under a New York session, sub-cent amounts and ANSI either way."""
+    shapes = ["2023-03-12T02:30:00", "2023-03-12 02:30:00", "2023-03-12T02:30:00Z", "2023-03-12T04:30:00+02:00",
+              "2023-03-12T02:30:00.123456789"]
+    lines = [f"U1,U2,60,T1,{shapes[i % 5]},VOICE,0.004" for i in range(1000)]
+    path = write_csv(str(tmp_path / "cdr.csv"), lines)
+    conf = {"spark.sql.session.timeZone": "America/New_York", "spark.sql.ansi.enabled": ansi}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        heat = run(spark, "tower_heatmap", path, tmp_out, "h")
+        spend = run(spark, "revenue_recon", path, tmp_out, "v")
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [tuple(r) for r in read_result(spark, heat["output_path"], HEATMAP_SCHEMA).collect()] == [("T1", 2, 1000)]
+    assert read_result(spark, spend["output_path"], REVENUE_SCHEMA).first()[0] == 4.0
+
+
+@pytest.mark.parametrize("when", ["before", "during"])
+def test_a_failing_rerun_keeps_the_former_result(spark, tmp_path, tmp_out, when):
+    path = write_csv(str(tmp_path / "cdr.csv"), ["U1,U2,60,T1,2023-10-01T10:00:00,VOICE,1.5"])
+    good = run(spark, "top_callers", path, tmp_out, "r")
+
+    def source():
+        df = read_cdr(spark, path)
+        if when == "before":
+            raise ValueError("no input")
+        return df.withColumn("charge_amount", F.when(F.col("charge_amount") > 0, F.raise_error(F.lit("bad"))).cast("double"))
+
+    with pytest.raises(Exception):
+        run_job(spark, "top_callers", source, tmp_out, "r", input_path=path, input_count="action")
+    rows = [tuple(r) for r in read_result(spark, good["output_path"], TOP_CALLERS_SCHEMA).collect()]
+    assert rows == [("U1", 1.5)]
+    (m,) = read_manifests(spark, tmp_out, "top_callers_by_spend", "r").collect()
+    assert m["status"] == "FAILURE" and m["input_record_count"] == (0 if when == "before" else 1)
+    (c,) = check_manifests(spark, tmp_out, "top_callers_by_spend", "r").collect()
+    assert not c["ok"] and c["actual_rows"] == 1
+    assert not [d for d in os.listdir(f"{tmp_out}/top_callers_by_spend") if d.startswith("_staging")]
+
+
+def test_parquet_input_by_suffix_and_line_breaks(spark, tmp_path, tmp_out):
+    path = str(tmp_path / "x.parquet")
+    rows = [("a\nb", 1.0), ("NULL", 2.0), (None, 3.0)]
+    spark.createDataFrame(rows, "caller_id string, charge_amount double").write.parquet(path)
+    m = run(spark, "top_callers", path, tmp_out, "p")
+    assert m["input_record_count"] == 3
+    got = [tuple(r) for r in read_result(spark, m["output_path"], TOP_CALLERS_SCHEMA).collect()]
+    assert sorted(got, key=str) == sorted(rows, key=str)
+    (c,) = check_manifests(spark, tmp_out).collect()
+    assert c["ok"] and c["actual_rows"] == 3

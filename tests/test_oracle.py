@@ -25,7 +25,10 @@ def test_query_matches_oracle(spark, sf, name):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # The operators that SQL cannot express are held against brute force in tests/llm.
+    others = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}
+    assert set(entry.queries()) - others == set(entry.oracle_sql()) - others
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):

@@ -71,6 +71,11 @@ def test_hot_key_is_split_by_aqe_and_result_is_exact(spark):
             .otherwise((F.col("id") * 7919 % 101).cast("double"))
             .alias("v"),
         )
+        # A key of small values keeps the bounds on the scan loose.
+        calm = spark.range(100).select(
+            F.lit(5_000).alias("k"), (F.col("id") + n).alias("t"), F.when(F.col("id") == 0, 1.0).otherwise(0.001 * (F.col("id") % 2)).alias("v")
+        )
+        df = df.unionByName(calm)
         out = zscore_outliers(df, "k", "v", keep=["t"], max_broadcast_rows=0)
         got = sorted((r["k"], r["t"]) for r in out.collect())
         final = out._jdf.queryExecution().executedPlan().toString()
@@ -96,13 +101,17 @@ def test_split_keeps_hot_rows_in_place(spark):
     df = spark.range(50_000, numPartitions=4).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("k"),
         F.col("id").alias("t"),
-        (F.col("id") % 17).cast("double").alias("v"),
+        F.when(F.col("id") % 5_000 == 0, 900.0).otherwise((F.col("id") % 17).cast("double")).alias("v"),
     )
-    out = zscore_outliers(df, "k", "v", keep=["t"], strategy="split", heavy_threshold=5_000)
+    # The statistics fit a broadcast: one join, one scan, no shuffle of rows.
+    plan = plan_text(zscore_outliers(df, "k", "v", keep=["t"], strategy="split", heavy_threshold=5_000))
+    assert plan.count("Range (") <= 2 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # They do not: the hot key is judged by broadcast, the others sort-merge, still one scan.
+    out = zscore_outliers(df, "k", "v", keep=["t"], strategy="split", heavy_threshold=5_000, max_broadcast_rows=0)
     plan = plan_text(out)
-    # hot key rows: broadcast join only; the rest: anti join against the hot keys first
-    assert "LeftAnti" in plan
+    assert plan.count("Range (") <= 2 and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
     ref = zscore_outliers(df, "k", "v", keep=["t"], max_broadcast_rows=0)
+    assert ref.count() == 10
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
 
 
@@ -166,7 +175,7 @@ def test_csv_job_paths_compile_to_whole_stage_code(spark, tmp_path):
     from callstats.sources.cdr import read_cdr
     from tests.test_jobs import write_csv
 
-    lines = [f"U{i % 13},U1,{60 + i % 7},T{i % 3},2023-10-01T{i % 24:02d}:00:00,VOICE,1.25" for i in range(300)]
+    lines = [f"U{i % 13},U1,{9000 if i == 0 else 60 + i % 7},T{i % 3},2023-10-01T{i % 24:02d}:00:00,VOICE,1.25" for i in range(300)]
     src = read_cdr(spark, write_csv(str(tmp_path / "cdr.csv"), lines))
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the codegen stages before execution
@@ -182,3 +191,12 @@ def test_csv_job_paths_compile_to_whole_stage_code(spark, tmp_path):
             assert not any(p in text for p in PYTHON_NODES)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_candidate_bounds_reach_the_scan(spark):
+    """The sort-merge branch reads the rows with a pushed bound on the value."""
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    out = zscore_outliers(ev, "user_id", "value", keep=["event_id"], max_broadcast_rows=0)
+    pushed = re.findall(r"PushedFilters: (.*)", plan_text(out))
+    assert any("LessThan(value" in p and "GreaterThan(value" in p for p in pushed)
+    assert out.count() == 171
