@@ -1,0 +1,226 @@
+"""Operators with a trained part: their exact parts against brute force, the
+trained ones on held-out cases."""
+
+import hashlib
+import itertools
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from callstats.llm import pii, quality, secret_scan, toxicity
+from callstats.llm.queries import QUERIES
+from tests.llm.test_exact_operators import ODD_TEXTS, empty_docs, odd_docs
+
+SF = "/root/testdata/sf0.001"
+EMPTY_HASH = hashlib.sha256(b"").hexdigest()
+
+
+# ---------------------------------------------------------------- secrets
+
+
+@pytest.fixture(scope="module")
+def network():
+    texts = [t for t in pd.read_parquet(f"{SF}/documents.parquet")["text"] if t]
+    return secret_scan.train(secret_scan.labelled_findings(texts, per_kind=120))
+
+
+def test_base_secrets():
+    key = "AKIA" + "A1" * 7
+    text = f"pässwort PassWord: 'abcdefghijkl' {key} {key[:-1]} " + "f" * 16 + " token=secret=abcdefghijkl api-key=x"
+    spans = [(secret_scan.KINDS[k], text[a:b]) for a, k, b in secret_scan.base_spans(text)]
+    assert spans == [
+        ("assign", "PassWord: 'abcdefghijkl"), ("access", key), ("hex", "f" * 16), ("assign", "token=secret=abcdefghijkl"),
+    ]
+    assert secret_scan.base_spans("token: secret: abcdefghijkl") == []  # the short match is dropped, no retry
+
+
+def test_network_on_unseen_findings(network):
+    texts = [t for t in pd.read_parquet("/root/testdata/sf0.01/documents.parquet")["text"] if t][:200]
+    found = secret_scan.labelled_findings(texts, seed=77, per_kind=40)
+    scores, truth = network.scores([f[:3] for f in found]), np.array([f[4] for f in found])
+    limit = np.array([dict(network.thresholds)[f[3]] for f in found])
+    assert (scores >= limit)[truth == 1].mean() > 0.93
+    assert (scores >= limit)[truth == 0].mean() < 0.03
+
+
+def test_scan_adds_spans_and_keeps_base(spark, network):
+    unknown = "ghp_" + "aB3dE5fG7hJ9" * 3
+    body = f"the client used {unknown} today and token = 'abcdefghijklmnop' too"
+    docs = odd_docs(spark).limit(1).selectExpr("5L as doc_id", f'"{body}" as text', "'mine' as spans")
+    (r,) = secret_scan.scan(docs, network, ["doc_id"]).collect()
+    assert r["n_assign"] == 1 and f"cnn:{body.index(unknown)}:{body.index(unknown) + len(unknown)}" in r["spans"].split(",")
+    rows = secret_scan.scan(odd_docs(spark), network, ["doc_id"]).collect()
+    assert len(rows) == len(ODD_TEXTS) + 3 and {r["base_sha256"] for r in rows} == {EMPTY_HASH} and {r["spans"] for r in rows} == {""}
+    assert secret_scan.scan(empty_docs(spark), network, ["doc_id"]).count() == 0
+    assert secret_scan.sample_texts(empty_docs(spark)) == [] and secret_scan.train([]).thresholds
+
+
+# ---------------------------------------------------------------- personal data
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        x = int(c) * (2 if k % 2 else 1)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def brute_base(t):
+    out = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        if 16 <= len(d) <= 19 and luhn(d):
+            out.append(("card", m))
+    out += [("phone", m) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return [(k, m.start(), m.end()) for k, m in out]
+
+
+TRICKY = [
+    "é😀 a@b.c%x@d.e.f @x.y z@ q@q a.b@c-d.e-f..g",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 9.9.9",
+    "4111 1111-11111111 4111111111111111 41111111111111112222 4111  1111111111111111",
+    "+1 (168) 555-5254 +49.30.1234567- +1 2 3 +12345678901234567 ++1 23 4567 8",
+    "7" * 30_000 + " " + "1 2 " * 9000,
+    "a" * 40_000 + "@" + "b." * 9000,
+]
+
+
+def test_base_personal_data_equals_brute_force(spark):
+    texts = TRICKY + [t for t in pd.read_parquet(f"{SF}/documents.parquet")["text"]] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pii.Trees((), (), tuple((m, 1.0) for m in pii.METHODS))  # accepts nothing
+    got = pii.find_personal_data(docs, model, ["doc_id"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = brute_base(texts[r["doc_id"]] or "")
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r["spans"] == joined and r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [Counter(k for k, _, _ in want)[k] for k in pii.KINDS]
+
+
+def test_trees_add_spans_and_redact(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = pii.train(docs, bound=120)
+    text = "please write to jane (at) mail (dot) com or a@b.co, phone 555-123-4567. We met at noon. Order 2024-05-170"
+    rows = spark.createDataFrame([(1, text, "x"), (2, None, "y"), (3, "", "z")], "doc_id long, text string, findings string")
+    got = {r["doc_id"]: r for r in pii.find_personal_data(rows, model, ["doc_id"]).collect()}
+    spans = [s.split(":") for s in got[1]["spans"].split(",")]
+    assert {(k, text[int(a) : int(b)]) for k, a, b in spans} >= {
+        ("email", "a@b.co"), ("mail", "jane (at) mail (dot) com"), ("local", "555-123-4567")
+    }
+    assert not any("2024" in text[int(a) : int(b)] for _, a, b in spans)
+    assert got[2]["spans"] == got[3]["spans"] == "" and got[2]["base_sha256"] == EMPTY_HASH
+    clean = {r["doc_id"]: r["redacted"] for r in pii.redact(rows, model, ["doc_id"]).collect()}
+    assert "[mail] or [email]" in clean[1] and "[local]" in clean[1] and "met at noon" in clean[1]
+    assert pii.find_personal_data(empty_docs(spark), model, ["doc_id"]).count() == 0
+
+
+def test_training_without_documents(spark):
+    assert len(pii.train(empty_docs(spark), bound=60).thresholds) == len(pii.METHODS)
+
+
+# ---------------------------------------------------------------- quality
+
+
+def brute_counts(t):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]
+    windows = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+    often = Counter(windows)
+    again = {k + d for k, w in enumerate(windows) if often[w] > 1 for d in range(3)}
+    dups, seen = 0, set()
+    for line in t.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dups += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), dups, len(again)
+
+
+def test_counts_equal_brute_force():
+    texts = [t for t in pd.read_parquet(f"{SF}/documents.parquet")["text"]] + ["", " \x1c\xa0 a", "a b a b a b a", "x\n x\nx\n\n \n"]
+    for t in texts + [x for x in ODD_TEXTS if x]:
+        assert quality.base_counts(t) == brute_counts(t)
+
+
+def test_outliers_of_a_hot_group(spark):
+    """One group with nine tenths of the rows, one small, one NULL."""
+    rng = np.random.default_rng(2)
+
+    def text(k):
+        words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(rng.integers(80, 300))]
+        return " ".join(w + "###" if k % 50 == 3 else w for w in words)
+
+    rows = [(k, text(k), "en", "hot") for k in range(600)] + [(1000 + k, text(k), None, None) for k in range(60)]
+    rows += [(2000 + k, text(k), "en", "small") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.judge_quality(docs).collect()}
+    assert len(got) == len(rows) and not any(r["base_failed"] for r in got.values())
+    assert {k for k, r in got.items() if not r["kept"] and k < 2000} == {k for k in got if k % 50 == 3 and k < 2000}
+    assert all(got[2000 + k]["kept"] for k in range(5))  # too few to judge
+    hot = docs.where("source = 'hot'")
+    again = {r["doc_id"]: r["kept"] for r in quality.judge_quality(hot.repartition(7)).collect()}
+    assert all(got[k]["kept"] == kept for k, kept in again.items())
+
+
+def test_quality_of_odd_documents(spark):
+    got = quality.judge_quality(odd_docs(spark)).collect()
+    assert len(got) == len(ODD_TEXTS) + 3 and all(r["base_failed"] and not r["kept"] for r in got)
+    assert quality.judge_quality(empty_docs(spark)).count() == 0
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(1)
+    u, trans = rng.normal(size=9) * 3, rng.normal(size=(2, 2))
+    lengths = np.array([4, 1, 3, 1])
+    want, pairs, at = [], np.zeros((2, 2)), 0
+    for n in lengths:
+        z, m, p = 0.0, np.zeros(n), np.zeros((2, 2))
+        for y in itertools.product([0, 1], repeat=int(n)):
+            w = np.exp(np.dot(u[at : at + n], y) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+            z, m = z + w, m + w * np.array(y)
+            for a, b in zip(y, y[1:]):
+                p[a, b] += w
+        want += list(m / z)
+        pairs += p / z
+        at += n
+    got = toxicity.forward_backward(u, lengths, trans)
+    assert np.allclose(got[0], want) and np.allclose(got[1], pairs)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op8_toxicity"](spark, sf).toPandas().merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    assert ((got["doc_id"].astype(str).map(lambda s: zlib.crc32(s.encode()) % 3) == 1) == got["held_out"]).all()
+    held = got[got["held_out"]]
+    rank = held["score"].rank()
+    n = held["toxic"].sum()
+    auc = (rank[held["toxic"] == 1].sum() - n * (n + 1) / 2) / (n * (len(held) - n))
+    assert auc > 0.8 and held["score"].between(0, 1).all()
+    assert held[held["toxic"] == 0]["predicted"].mean() < 0.03
+
+
+def test_offending_offsets(spark):
+    texts = ["you total day é such an here", "you total idiot é day"] * 120
+    crf = toxicity.train(texts, [0, 1] * 120, [k // 2 % 2 for k in range(240)])
+    docs = odd_docs(spark).limit(2).selectExpr("doc_id", "'é such an\n idiot here' as text", "'mine' as spans", "'x' as score")
+    for r in toxicity.tag(docs, crf, ["doc_id"]).collect():
+        assert [(s["start"], s["end"]) for s in r["spans"]] == [(11, 16)] and r["predicted"] == 1
+    assert toxicity.drop_toxic(docs, crf).count() == 0
+    odd = odd_docs(spark)
+    kept = toxicity.drop_toxic(odd, crf)
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+    assert toxicity.tag(empty_docs(spark), crf, ["doc_id"]).count() == 0
+
+
+def test_fit_without_labels(spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    crf = toxicity.fit(odd_docs(spark), labels)
+    assert toxicity.drop_toxic(odd_docs(spark), crf).count() == odd_docs(spark).count()
