@@ -55,7 +55,7 @@ class Crf:
     emit: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, dtype=np.float32))
     bias: float = -4.0
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    calibration: tuple[float, float, float] = (0.0, 1.0, 0.0)
+    calibration: tuple[float, ...] = (0.0, 1.0, 0.0, 0.0)
 
     def __post_init__(self):
         self._known: dict[str, float] = {}
@@ -126,12 +126,22 @@ def tokenize(text: str) -> tuple[list[str], list[int]]:
     return tokens, lengths
 
 
-def aggregate(of_tokens: np.ndarray) -> tuple[float, float]:
-    """Of a document: log odds of its most toxic token, and log odds that any
-    token is toxic, taking the marginals as independent."""
-    top = float(np.clip(of_tokens.max(initial=1e-6), 1e-6, 1 - 1e-6))
-    some = float(np.clip(-np.expm1(np.log1p(-np.clip(of_tokens, 0, 1 - 1e-6)).sum()), 1e-6, 1 - 1e-6))
-    return np.log(top / (1 - top)), np.log(some / (1 - some))
+#: Power by which a token's odds are sharpened before the odds of any toxic
+#: token in the document are formed. Without it the many small marginals of a
+#: long clean document would add up to a toxic one.
+SHARPEN = 3
+
+
+def aggregate(of_tokens: np.ndarray) -> tuple[float, float, float]:
+    """Of a document: log odds of its most toxic token; log odds that any token
+    is toxic, by the sharpened odds and taking the tokens as independent; and
+    the log of the share of toxic tokens, by the same odds."""
+    p = np.clip(of_tokens, 1e-6, 1 - 1e-6)
+    top = float(p.max(initial=1e-6))
+    odds = (p / (1 - p)) ** SHARPEN
+    some = float(np.clip(-np.expm1(-np.log1p(odds).sum()), 1e-6, 1 - 1e-6))
+    share = float((odds / (1 + odds)).sum()) / (len(p) + 20) + 1e-4
+    return np.log(top / (1 - top)), np.log(some / (1 - some)), np.log(share) + 7
 
 
 def toxic_features(docs: list[list[str]], toxic: np.ndarray) -> set[int]:
@@ -214,23 +224,24 @@ def train(texts: list[str], toxic: list[int], folds: list[int], epochs: int = 30
     crf = Crf(w.astype(np.float32), bias, trans)
     rest = np.flatnonzero(folds != 0)
     of_docs = [aggregate(p) for _, p in marginals(crf, [texts[k] for k in rest])]
-    crf.calibration = calibrate(np.array(of_docs).reshape(-1, 2), toxic[rest])
+    crf.calibration = calibrate(np.array(of_docs).reshape(-1, 3), toxic[rest])
     return crf
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of the label on the two aggregates (Newton steps
-    with a small penalty that pulls towards equal trust in both)."""
+def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
+    """Logistic regression of the label on the aggregates (Newton steps of
+    bounded length, with a small penalty that pulls towards equal trust in them)."""
+    prior = np.array([0.0, 0.3, 0.3, 0.3])
     if not len(y) or y.min() == y.max():
-        return (0.0, 0.5, 0.5)
+        return tuple(prior)
     design = np.column_stack([np.ones(len(y)), x])
-    prior = np.array([0.0, 0.1, 0.1])
     b = prior.copy()
-    for _ in range(30):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ b, -30, 30)))
         grad = design.T @ (y - p) - 1.0 * (b - prior)
-        hess = (design * (p * (1 - p))[:, None]).T @ design + np.eye(3)
-        b = b + np.linalg.solve(hess, grad)
+        hess = (design * (p * (1 - p))[:, None]).T @ design + np.eye(4)
+        step = np.linalg.solve(hess, grad)
+        b = b + step * min(1.0, 0.3 / max(np.abs(step).max(), 1e-12))
     return tuple(map(float, b))
 
 
@@ -265,9 +276,8 @@ def score_texts(crf: Crf, texts: list[str]) -> list[tuple[float, list[tuple[int,
 
 
 def _calibrated(crf: Crf, of_tokens: np.ndarray) -> float:
-    a, b, c = crf.calibration
-    x, y = aggregate(of_tokens)
-    return float(1 / (1 + np.exp(-np.clip(a + b * x + c * y, -30, 30))))
+    z = crf.calibration[0] + float(np.dot(crf.calibration[1:], aggregate(of_tokens)))
+    return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def fold_of(doc_id: str = "doc_id"):

@@ -214,10 +214,19 @@ def test_offending_offsets(spark):
     for r in toxicity.tag(docs, crf, ["doc_id"]).collect():
         assert [(s["start"], s["end"]) for s in r["spans"]] == [(11, 16)] and r["predicted"] == 1
     assert toxicity.drop_toxic(docs, crf).count() == 0
+    assert toxicity.tag(empty_docs(spark), crf, ["doc_id"]).count() == 0
+
+
+def test_odd_documents_are_kept(spark):
+    sf = "/root/testdata/sf0.01"
+    crf = toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
     odd = odd_docs(spark)
     kept = toxicity.drop_toxic(odd, crf)
     assert kept.columns == odd.columns and kept.count() == odd.count()
-    assert toxicity.tag(empty_docs(spark), crf, ["doc_id"]).count() == 0
+    # A long clean text does not add up to a toxic one.
+    docs = pd.read_parquet(f"{sf}/documents.parquet").merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    clean = " ".join(docs[docs["toxic"] == 0]["text"].head(40))
+    assert toxicity.score_texts(crf, [clean])[0][0] < toxicity.PREDICT_AT
 
 
 def test_fit_without_labels(spark):
