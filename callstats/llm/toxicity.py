@@ -55,7 +55,7 @@ class Crf:
     emit: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, dtype=np.float32))
     bias: float = -4.0
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    calibration: tuple[float, ...] = (0.0, 1.0, 0.0, 0.0)
+    calibration: tuple[float, ...] = (0.0, 0.5, 0.5)
 
     def __post_init__(self):
         self._known: dict[str, float] = {}
@@ -132,16 +132,15 @@ def tokenize(text: str) -> tuple[list[str], list[int]]:
 SHARPEN = 3
 
 
-def aggregate(of_tokens: np.ndarray) -> tuple[float, float, float]:
-    """Of a document: log odds of its most toxic token; log odds that any token
-    is toxic, by the sharpened odds and taking the tokens as independent; and
-    the log of the share of toxic tokens, by the same odds."""
+def aggregate(of_tokens: np.ndarray) -> tuple[float, float]:
+    """Of a document, by the sharpened odds of its tokens: log odds that any is
+    toxic, taking them as independent, and the log of the share of toxic ones.
+    Both are smallest for a text without tokens."""
     p = np.clip(of_tokens, 1e-6, 1 - 1e-6)
-    top = float(p.max(initial=1e-6))
     odds = (p / (1 - p)) ** SHARPEN
-    some = float(np.clip(-np.expm1(-np.log1p(odds).sum()), 1e-6, 1 - 1e-6))
-    share = float((odds / (1 + odds)).sum()) / (len(p) + 20) + 1e-4
-    return np.log(top / (1 - top)), np.log(some / (1 - some)), np.log(share) + 7
+    some = float(np.clip(-np.expm1(-np.log1p(odds).sum()), 1e-12, 1 - 1e-6))
+    share = float((odds / (1 + odds)).sum()) / (len(p) + 20) + 1e-5
+    return np.log(some / (1 - some)), np.log(share) + 7
 
 
 def toxic_features(docs: list[list[str]], toxic: np.ndarray) -> set[int]:
@@ -224,14 +223,14 @@ def train(texts: list[str], toxic: list[int], folds: list[int], epochs: int = 30
     crf = Crf(w.astype(np.float32), bias, trans)
     rest = np.flatnonzero(folds != 0)
     of_docs = [aggregate(p) for _, p in marginals(crf, [texts[k] for k in rest])]
-    crf.calibration = calibrate(np.array(of_docs).reshape(-1, 3), toxic[rest])
+    crf.calibration = calibrate(np.array(of_docs).reshape(-1, 2), toxic[rest])
     return crf
 
 
 def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Logistic regression of the label on the aggregates (Newton steps of
     bounded length, with a small penalty that pulls towards equal trust in them)."""
-    prior = np.array([0.0, 0.3, 0.3, 0.3])
+    prior = np.array([0.0, 0.5, 0.5])
     if not len(y) or y.min() == y.max():
         return tuple(prior)
     design = np.column_stack([np.ones(len(y)), x])
@@ -239,9 +238,10 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ b, -30, 30)))
         grad = design.T @ (y - p) - 1.0 * (b - prior)
-        hess = (design * (p * (1 - p))[:, None]).T @ design + np.eye(4)
+        hess = (design * (p * (1 - p))[:, None]).T @ design + np.eye(3)
         step = np.linalg.solve(hess, grad)
         b = b + step * min(1.0, 0.3 / max(np.abs(step).max(), 1e-12))
+        b[1:] = np.maximum(b[1:], 0.0)  # more toxic tokens never lower the score
     return tuple(map(float, b))
 
 
