@@ -13,8 +13,10 @@ import hashlib
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -310,8 +312,13 @@ def all_spans(net: Network, texts: list[str]) -> list[tuple[list[tuple[int, int,
     base = [base_spans(t) for t in texts]
     found, owner, kinds = [], [], []
     for k, t in enumerate(texts):
+        starts = [a for a, _, _ in base[k]]
+        reach = list(accumulate((b for _, _, b in base[k]), max))
         for s, e, kind in candidates(t):
-            if not any(a < e and s < b for a, _, b in base[k]):
+            # Of the base findings that start before the candidate's end the
+            # farthest end decides whether any overlaps it.
+            before = bisect_left(starts, e)
+            if not before or reach[before - 1] <= s:
                 found.append((t, s, e))
                 owner.append(k)
                 kinds.append(kind)
