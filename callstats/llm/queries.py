@@ -96,7 +96,56 @@ QUERIES = {
 _UNITS = mixing.units_of(stages.WEIGHTS)
 _PERIOD = ", ".join(f"('{s}', {j}, {slot}, {_UNITS[s]})" for s, j, slot in mixing.period_table(_UNITS))
 
+_ROUND_KEYS = ", ".join(f"{k}::UHUGEINT" for k in sharding.round_keys(sharding.SEED))
+
 ORACLE_SQL = {
+    "op4_warc": r"""
+WITH digests AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), encoded AS (
+  -- Five hex digits are four letters of base32.
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda k:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((('0x' || substr(hex, 5 * (k // 4) + 1, 5))::INT >> (15 - 5 * (k % 4))::INT) & 31), 1)), '') AS payload_digest
+  FROM digests
+), grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_bytes, payload_digest) AS top FROM encoded)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM grouped
+""",
+    # list_transform([x], ...)[1] names an intermediate value.
+    "op5_sharding": f"""
+WITH RECURSIVE bytes AS (
+  SELECT b, list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+), crc_table AS (SELECT list(t ORDER BY b) AS t FROM bytes), sums AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+         xor(4294967295, list_reduce(
+           [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT),
+           lambda c, v: xor(c >> 8, t[xor(c & 255, v) + 1]))) AS text_crc32
+  FROM documents, crc_table
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS number, count(*) OVER () AS n FROM sums
+), sized AS (
+  -- Half of the bits of the next even power of two, as a factor.
+  SELECT *, (1::BIGINT << greatest(1, (length(bin(n - 1)) + 1) // 2)::BIGINT)::UHUGEINT AS half FROM numbered
+), walk AS (
+  SELECT number, n, half, number::UHUGEINT AS x, n <= 1 AS done FROM sized
+  UNION ALL
+  SELECT number, n, half, y, y < n FROM (
+    SELECT number, n, half, list_reduce([x, {_ROUND_KEYS}], lambda s, k:
+      (s % half) * half + xor(s // half, list_transform(list_transform(list_transform(
+        [(s % half + k) % 18446744073709551616::UHUGEINT],
+        lambda v: xor(v, v // 1073741824) * 13787848793156543929::UHUGEINT % 18446744073709551616::UHUGEINT),
+        lambda v: xor(v, v // 134217728) * 10723151780598845931::UHUGEINT % 18446744073709551616::UHUGEINT),
+        lambda v: xor(v, v // 2147483648))[1] % half)) AS y
+    FROM walk WHERE NOT done)
+), moved AS (SELECT number, x FROM walk WHERE done)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (x % {stages.SHARDS})::INT AS shard,
+       (x // {stages.SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard
+FROM numbered JOIN moved USING (number)
+""",
     # One period of the schedule is a fixed table of the weights; the tests
     # check it against the definition of the windows.
     "op3_mixing": f"""

@@ -23,12 +23,17 @@ SEED = 20240501
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
     """64-bit finaliser (xor-shift and multiply) of ``x`` under a round key."""
     with np.errstate(over="ignore"):
-        x = x + np.uint64(key & 0xFFFFFFFFFFFFFFFF)
+        x = x + np.uint64(key)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
 
 
+def round_keys(seed: int) -> list[int]:
+    """The 64-bit key of each round."""
+    return [(seed * 0x9E3779B97F4A7C15 + r * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF for r in range(ROUNDS)]
+
+
 def feistel(numbers: np.ndarray, n: int, seed: int, inverse: bool = False) -> np.ndarray:
     """Permutation of 0..n-1 applied to ``numbers`` (or its inverse).
 
@@ -41,7 +46,7 @@ def feistel(numbers: np.ndarray, n: int, seed: int, inverse: bool = False) -> np
     half = max(1, ((n - 1).bit_length() + 1) // 2)
     low = np.uint64((1 << half) - 1)
     shift = np.uint64(half)
-    keys = [(seed * 0x9E3779B97F4A7C15 + r * 0xD1B54A32D192ED03) for r in range(ROUNDS)]
+    keys = round_keys(seed)
     out = numbers.astype(np.uint64)
     todo = np.arange(len(out))
     while len(todo):
