@@ -12,20 +12,32 @@ stage. So the input is read once, and the count is exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callstats.functions.money import exact_sum
 from callstats.operators.materialize import materialize
 from callstats.schema import TOP_N
 
-# Name of the per-group row count carried for ``input_rows``.
-ROWS_SEEN = "_rows_seen"
+# Names of the per-group counts carried for ``input_rows``: rows, and rows with
+# a value the aggregate can use.
+ROWS_SEEN, ROWS_USED = "_rows_seen", "_rows_used"
+
+
+def count_rows(used: str) -> list[Column]:
+    """Aggregates behind ``input_rows``: rows, and rows in which ``used`` is not NULL."""
+    return [F.count(F.lit(1)).alias(ROWS_SEEN), F.count(used).alias(ROWS_USED)]
 
 
 def observe_rows_seen(df: DataFrame, input_rows: Observation) -> DataFrame:
-    """Attach ``input_rows`` as the sum of the per-group counts of ``df``."""
-    return df.observe(input_rows, F.coalesce(F.sum(ROWS_SEEN), F.lit(0)).alias("rows"))
+    """Attach ``input_rows`` as the sums of the per-group counts of ``df``: ``rows``,
+    and of these ``rejected``, which had no usable value."""
+    rejected = F.sum(F.col(ROWS_SEEN) - F.col(ROWS_USED))
+    return df.observe(
+        input_rows,
+        F.coalesce(F.sum(ROWS_SEEN), F.lit(0)).alias("rows"),
+        F.coalesce(rejected, F.lit(0)).alias("rejected"),
+    )
 
 
 def top_by_sum(
@@ -50,10 +62,10 @@ def top_by_sum(
     out_key = out_key or key
     aggs = [exact_sum(value).alias(out_value)]
     if input_rows is not None:
-        aggs.append(F.count(F.lit(1)).alias(ROWS_SEEN))
+        aggs += count_rows(value)
     sums = df.groupBy(F.col(key).alias(out_key)).agg(*aggs)
     if input_rows is not None:
-        sums = materialize(observe_rows_seen(sums, input_rows)).drop(ROWS_SEEN)
+        sums = materialize(observe_rows_seen(sums, input_rows)).drop(ROWS_SEEN, ROWS_USED)
     top = sums.orderBy(F.col(out_value).desc_nulls_last(), F.col(out_key).asc_nulls_last()).limit(n)
     return top if input_rows is None else top.coalesce(1)
 
@@ -66,7 +78,7 @@ def total(df: DataFrame, value: str, out: str = "total", input_rows: Observation
     """
     if input_rows is None:
         return df.agg(exact_sum(value).alias(out))
-    both = df.agg(exact_sum(value).alias(out), F.count(F.lit(1)).alias(ROWS_SEEN)).coalesce(1)
+    both = df.agg(exact_sum(value).alias(out), *count_rows(value)).coalesce(1)
     return observe_rows_seen(both, input_rows).select(out)
 
 

@@ -108,8 +108,8 @@ def zscore_outliers(
     Returns ``key``, the ``keep`` columns, ``value``, ``out_mean`` and
     ``out_stddev`` (unrounded). Rows with a NULL key or value are never outliers.
 
-    ``input_rows`` (metric ``rows``) receives the number of rows of ``df``,
-    NULL keys included. It is summed from the per-key counts of the stats
+    ``input_rows`` receives the number of rows of ``df``, NULL keys included
+    (metric ``rows``), and of those without a key or value (``rejected``). It is summed from the per-key counts of the stats
     aggregate in the job that writes the stats to the checkpoint folder, whose
     result stage counts each row once: no extra pass over ``df``.
     """
@@ -124,7 +124,12 @@ def zscore_outliers(
     # filter stays above it and the total sees all rows.
     all_stats = _stats(cols, key, value)
     if input_rows is not None:
-        all_stats = all_stats.observe(input_rows, F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))
+        used = F.when(F.col(key).isNotNull(), F.col("_n")).otherwise(F.lit(0))
+        all_stats = all_stats.observe(
+            input_rows,
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.col("_rows") - used), F.lit(0)).alias("rejected"),
+        )
     is_heavy = F.col("_rows") > F.lit(int(heavy_threshold))
     wanted = _candidates(k) | is_heavy if strategy == "split" else _candidates(k)
     stats = materialize(all_stats.where(F.col(key).isNotNull()).where(wanted))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from callstats.functions.rounding import round_exact
 from callstats.functions.time import as_text, as_timestamp, hour_of_day
-from callstats.operators.aggregates import ROWS_SEEN, observe_rows_seen, top_by_sum, total
+from callstats.operators.aggregates import count_rows, observe_rows_seen, top_by_sum, total
 from callstats.operators.outliers import zscore_outliers
 from callstats.operators.projection import conform
 from callstats.schema import (
@@ -70,7 +70,7 @@ def tower_heatmap(df: DataFrame, roles: Roles = CDR_ROLES, input_rows: Observati
     hours = with_hour(df.select(roles.tower, roles.timestamp), roles)
     aggs = [F.count("hour_of_day").alias("call_count")]
     if input_rows is not None:
-        aggs.append(F.count(F.lit(1)).alias(ROWS_SEEN))
+        aggs += count_rows("hour_of_day")
     counts = hours.groupBy(roles.tower, "hour_of_day").agg(*aggs)
     if input_rows is not None:
         counts = observe_rows_seen(counts.repartition(1), input_rows)
@@ -150,16 +150,18 @@ JOBS: dict[str, Job] = {
 INPUT_COUNTS = ("exact", "action", "none")
 
 
-def observed_rows(obs: Observation, source: DataFrame) -> int:
-    """Row count observed on ``source`` during the job.
+def observed_rows(obs: Observation, source: DataFrame) -> tuple[int, int | None]:
+    """Row count observed on ``source`` during the job, and how many of the rows
+    were rejected: no valid time, number or key where the job needs one.
 
     When AQE finds an empty shuffle it drops the plan below it, metrics node
     included; only then is the (empty or tiny) input counted directly.
     """
     try:
-        return int(obs.get["rows"])
+        return int(obs.get["rows"]), int(obs.get["rejected"])
     except Exception:
-        return source.count()
+        n = source.count()
+        return n, None if n else 0
 
 
 def resolve_run_id(run_id: str | None) -> str:
@@ -195,6 +197,11 @@ def run_job(
       nearly free on Parquet, a second full read on CSV.
     - ``"none"``: not counted (``input_record_count`` is null).
 
+    The returned record is the manifest with ``rejected_record_count`` beside it:
+    of the input rows those without a valid time, number or key where the job
+    needs one (None unless ``input_count`` is ``"exact"``). So a column that does
+    not parse is seen, although the run succeeds.
+
     Result and manifest are written beside their place and renamed into it
     together, so a failed run leaves an earlier result of the run as it was. On
     failure a FAILURE manifest with the input count, if it is known by then, is
@@ -209,7 +216,7 @@ def run_job(
     run_id = resolve_run_id(run_id)
     run_dir = f"{output_base.rstrip('/')}/{job.job_name}/{run_id}"
     staged = staging_of(run_dir)
-    rows_in = None
+    rows_in = rejected = None
     zone = spark.conf.get("spark.sql.session.timeZone")
     # Hours and times without a zone are UTC, whatever session runs the job.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -228,11 +235,11 @@ def run_job(
         # projection in the same stage: the metrics stay where they are).
         output_count = write_result(conform(result, job.schema), staged, single_file=gather or False)
         if input_count == "exact":
-            rows_in = observed_rows(obs_in, source)
+            rows_in, rejected = observed_rows(obs_in, source)
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in, output_count, "SUCCESS")
         write_manifest(spark, record, staged)
         publish(spark, staged, run_dir)
-        return record
+        return record | {"rejected_record_count": rejected}
     except Exception:
         record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in or 0, 0, "FAILURE")
         try:

@@ -150,6 +150,9 @@ select user_id as caller_id, cast(floor(value) as int) as duration_sec,
 from events
 """,
     "input_rowcount": "select count(*) as input_record_count from events",
+    "rejected_rows": """
+select count(*) as input_record_count, count(*) filter (where event_id % 7 = 0) as rejected_record_count from events
+""",
     "revenue_fractional": """
 select cast(sum(cast(value / 8 as decimal(38,6))) as double) as total_revenue from events
 """,

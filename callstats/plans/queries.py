@@ -154,6 +154,15 @@ def input_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_manifests(spark, base).select("input_record_count")
 
 
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input rows of a heatmap run over times in seven shapes, and those of them
+    that were rejected: the shape no format accepts."""
+    times = events_as_text(spark, sf_dir)
+    record = run_job(spark, "tower_heatmap", times, scratch_path(spark, "runs"), "r0", roles=EVENT_ROLES)
+    names = ("input_record_count", "rejected_record_count")
+    return spark.range(1).select(*[F.lit(record[n]).cast("long").alias(n) for n in names])
+
+
 def revenue_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select((F.col("value") / 8).alias("value"))
     return revenue_recon(ev, EVENT_ROLES)
@@ -250,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_null_keys": csv_null_keys,
     "failed_run": failed_run,
+    "rejected_rows": rejected_rows,
     "revenue_fractional": revenue_fractional,
     "top_spend_fractional": top_spend_fractional,
     "run_manifest": run_manifest,

@@ -87,6 +87,20 @@ def test_all_jobs_on_csv(spark, cdr_file, tmp_out):
     assert all(r["ok"] for r in checks.values())
 
 
+def test_rejected_rows_are_counted(spark, cdr_file, tmp_path, tmp_out):
+    """Rows without a valid time, number or key where the job needs one."""
+    wanted = {"top_callers": 0, "tower_heatmap": 1, "anomalous_calls": 2, "revenue_recon": 0}
+    for name, rejected in wanted.items():
+        m = run(spark, name, cdr_file, tmp_out, "r1")
+        assert (m["input_record_count"], m["rejected_record_count"]) == (75, rejected), name
+        assert run(spark, name, cdr_file, tmp_out, "r2", input_count="none")["rejected_record_count"] is None
+    # A file in which no charge is a number.
+    bad = write_csv(str(tmp_path / "bad.csv"), ["u,v,60,T,2023-10-01T01:00:00,VOICE,1 EUR"] * 3)
+    for name in ("top_callers", "revenue_recon"):
+        m = run(spark, name, bad, tmp_out, "r3")
+        assert (m["status"], m["input_record_count"], m["rejected_record_count"]) == ("SUCCESS", 3, 3)
+
+
 def test_header_only_file(spark, tmp_path, tmp_out):
     path = write_csv(str(tmp_path / "empty.csv"), [])
     m = run(spark, "top_callers", path, tmp_out, "e")
