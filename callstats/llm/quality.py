@@ -30,14 +30,16 @@ STEPS = 3
 #: smaller groups are judged together; if they are still fewer than this, they
 #: are kept, for want of evidence.
 MIN_GROUP = 30
-#: Squared distance beyond which a document is rejected: the 1 - 1e-7 quantile
-#: of chi-square with 5 degrees of freedom, so that of the documents that
-#: follow their group's shape practically none is.
-CUTOFF = 40.9
+#: Squared distance beyond which a document is rejected: the 0.999 quantile of
+#: chi-square with 5 degrees of freedom, so that of the documents that follow
+#: their group's shape one in a thousand is.
+CUTOFF = 20.515
 #: Spread that is added to each dimension. A statistic that is nearly constant
 #: in a group (most documents repeat no line) would else reject every document
-#: that differs from it at all.
-FLOOR = {"x_len": 0.20, "x_word": 0.10, "x_symbol": 0.035, "x_lines": 0.20, "x_repeat": 0.20}
+#: that differs from it at all. Each is small enough that its statistic alone
+#: can exceed CUTOFF: x_repeat, which the base bounds by the root of 0.5, has
+#: the tightest room.
+FLOOR = {"x_len": 0.20, "x_word": 0.10, "x_symbol": 0.035, "x_lines": 0.20, "x_repeat": 0.10}
 DIMS = list(FLOOR)
 PAIRS = [(i, j) for i in range(len(DIMS)) for j in range(i, len(DIMS))]
 
@@ -99,7 +101,7 @@ def statistics() -> dict[str, Column]:
         "x_len": F.log(words),
         "x_word": F.log(chars / words),
         "x_symbol": F.sqrt(F.col("n_symbols") / chars),
-        "x_lines": F.sqrt(F.least(F.col("n_dup_lines") * 50 / words, F.lit(1.0))),
+        "x_lines": F.sqrt(F.col("n_dup_lines") * 50 / words),
         "x_repeat": F.sqrt(F.col("n_repeat_words") / words),
     }
 

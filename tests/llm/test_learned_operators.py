@@ -181,6 +181,28 @@ def test_outliers_of_a_hot_group(spark):
     assert all(got[k]["kept"] == kept for k, kept in again.items())
 
 
+def test_repeated_lines_or_words_alone_reject(spark):
+    rng = np.random.default_rng(4)
+
+    def words(n):
+        return ["".join(rng.choice(list("abcdefghij"), rng.integers(4, 9))) for _ in range(n)]
+
+    def lines(ws, k):
+        return "\n".join(" ".join(ws[i : i + k]) for i in range(0, len(ws), k))
+
+    rows = [(k, lines(words(rng.integers(120, 300)), 10), "en", "s") for k in range(200)]
+    short, passage = " ".join(words(2)), words(48)
+    rows.append((1000, "\n".join(f"{short}\n{' '.join(words(3))}" for _ in range(40)), "en", "s"))
+    rows.append((1001, lines(words(47) + passage + words(56) + passage + words(1), 10), "en", "s"))
+    got = {r["doc_id"]: r for r in quality.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert (got[1000]["n_dup_lines"], got[1000]["n_repeat_words"]) == (39, 0)
+    assert (got[1001]["n_dup_lines"], got[1001]["n_repeat_words"]) == (0, 96)
+    assert {k for k, r in got.items() if not r["kept"]} == {1000, 1001}
+    # Whatever a group's core is like, each statistic has room beyond the cutoff.
+    assert 0.5 / quality.FLOOR["x_repeat"] ** 2 / quality.CONSISTENCY > quality.CUTOFF
+
+
 def test_quality_of_odd_documents(spark):
     got = quality.judge_quality(odd_docs(spark)).collect()
     assert len(got) == len(ODD_TEXTS) + 3 and all(r["base_failed"] and not r["kept"] for r in got)
