@@ -26,9 +26,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 CORE_SHARE = 0.75
 #: Concentration steps from each start.
 STEPS = 3
-#: Smallest group with an estimate of its own. The documents of a language's
-#: smaller groups are judged together; if they are still fewer than this, they
-#: are kept, for want of evidence.
+#: Smallest group with an estimate of its own. ``judge_quality`` says by what
+#: the documents of smaller groups are judged.
 MIN_GROUP = 30
 #: Squared distance beyond which a document is rejected: the 0.999 quantile of
 #: chi-square with 5 degrees of freedom, so that of the documents that follow
@@ -239,15 +238,19 @@ def _chi2_cdf(x: float, degrees: int) -> float:
 CONSISTENCY = CORE_SHARE / _chi2_cdf(6.6257, 7)
 
 
-def judge_quality(docs: DataFrame, group: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF) -> DataFrame:
+def judge_quality(
+    docs: DataFrame, group: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF, lend: bool = False
+) -> DataFrame:
     """doc_id, the counts, base_failed, distance and kept of every document.
 
     base_failed documents are not kept and take no part in the estimates. The
     others are kept unless their squared distance to their group's shape
-    exceeds ``cutoff``. Groups of fewer than MIN_GROUP such documents are
-    judged as one for each value of ``group[0]``; if that is still too few,
-    all are kept (distance NULL). NULL groups are groups like any other; a NULL
-    or empty text has no words and fails the base.
+    exceeds ``cutoff``. With ``lend``, documents of groups of fewer than
+    MIN_GROUP such documents are judged by the shape of all documents with their
+    value of ``group[0]``, or of all documents if those are too few as well.
+    Else small groups are judged as one for each value of ``group[0]``. If that
+    is still too few, all are kept (distance NULL). NULL groups are groups like
+    any other; a NULL or empty text has no words and fails the base.
     """
     group = list(group)
     keyed = docs.select("doc_id", "text", *[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)])
@@ -255,10 +258,14 @@ def judge_quality(docs: DataFrame, group: tuple[str, ...] = ("lang", "source"),
     rows = counted(keyed, ["doc_id", *keys]).withColumn("base_failed", base_failed())
     rows = materialize(rows.withColumns(statistics()))
     sizes = rows.where(~F.col("base_failed")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    rows = _with_shape(rows, sizes, keys, "left").withColumn("_pooled", F.coalesce(F.col("_size") < MIN_GROUP, F.lit(True)))
-    rows = rows.withColumns({k: F.when(~F.col("_pooled"), F.col(k)) for k in keys[1:]}).drop("_size")
-    keys = [*keys, "_pooled"]
-    shapes = mcd_shapes(rows.where(~F.col("base_failed")), keys)
+    if lend:
+        rows, keys, evidence = _levels(rows, sizes, keys)
+    else:
+        rows = _with_shape(rows, sizes, keys, "left").withColumn("_pooled", F.coalesce(F.col("_size") < MIN_GROUP, F.lit(True)))
+        rows = rows.withColumns({k: F.when(~F.col("_pooled"), F.col(k)) for k in keys[1:]}).drop("_size")
+        keys = [*keys, "_pooled"]
+        evidence = rows.where(~F.col("base_failed"))
+    shapes = mcd_shapes(evidence, keys)
     judged = _with_shape(rows, shapes, keys, "left")
     enough = (F.col("n") >= CORE_SHARE * MIN_GROUP) & ~F.col("base_failed")
     distance = F.when(enough, squared_distance() / F.lit(CONSISTENCY))
@@ -269,3 +276,24 @@ def judge_quality(docs: DataFrame, group: tuple[str, ...] = ("lang", "source"),
         (~F.col("base_failed") & ~F.coalesce(F.col("distance") > cutoff, F.lit(False))).alias("kept"),
         F.round("distance", 6).alias("distance"),
     )
+
+
+def _levels(rows: DataFrame, sizes: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], DataFrame]:
+    """``rows`` with the keys of the group that judges each (its own: ``_level``
+    0, all of its first key: 1, all documents: 2), these keys, and the rows each
+    such group is estimated from. Levels no row needs have no rows there."""
+    sizes = materialize(sizes)
+    small = F.col("_size") < MIN_GROUP
+    wide = sizes.groupBy(keys[0]).agg(F.sum("_size").alias("_wide"), F.max(small).alias("_asked"))
+    few = wide.where(F.col("_wide") < MIN_GROUP).limit(1).count() > 0
+    sized = _with_shape(_with_shape(rows, sizes, keys, "left"), wide, keys[:1], "left")
+    own, first = F.col("_size") >= MIN_GROUP, F.col("_wide") >= MIN_GROUP
+
+    def at(frame: DataFrame) -> DataFrame:
+        cols = {k: F.when(F.col("_level") <= (1 if k == keys[0] else 0), F.col(k)) for k in keys}
+        return frame.withColumns(cols).drop("_size", "_wide", "_asked")
+
+    judged = at(sized.withColumn("_level", F.when(own, 0).when(first, 1).otherwise(2)))
+    levels = [F.when(own, 0), F.when(first & F.col("_asked"), 1), F.lit(2 if few else None).cast("int")]
+    evidence = sized.where(~F.col("base_failed")).withColumn("_level", F.explode(F.array_compact(F.array(*levels))))
+    return judged, [*keys, "_level"], at(evidence)

@@ -52,7 +52,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and robust outlier verdict of every document."""
-    return quality.judge_quality(_table(spark, sf_dir, "documents")).select(
+    return quality.judge_quality(_table(spark, sf_dir, "documents"), lend=True).select(
         "doc_id", *quality.COUNTS, "base_failed", "kept", "distance"
     )
 

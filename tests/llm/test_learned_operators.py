@@ -203,6 +203,23 @@ def test_repeated_lines_or_words_alone_reject(spark):
     assert 0.5 / quality.FLOOR["x_repeat"] ** 2 / quality.CONSISTENCY > quality.CUTOFF
 
 
+def test_query_judges_small_groups(spark, tmp_path):
+    """A small source is judged by its language, a small language by all."""
+    rng = np.random.default_rng(6)
+
+    def text(k):
+        words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(rng.integers(80, 300))]
+        return " ".join(w + "###" if k % 50 == 3 else w for w in words)
+
+    rows = [(k, text(k), "en", "large") for k in range(300)] + [(1000 + k, text(k), "en", "small") for k in range(5)]
+    rows += [(2000 + k, text(k), "de", "large") for k in range(5)] + [(3000 + k, text(k), None, None) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op7_quality"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert {k for k, r in got.items() if not r["kept"]} == {k for k in got if k % 50 == 3}
+
+
 def test_quality_of_odd_documents(spark):
     got = quality.judge_quality(odd_docs(spark)).collect()
     assert len(got) == len(ODD_TEXTS) + 3 and all(r["base_failed"] and not r["kept"] for r in got)
