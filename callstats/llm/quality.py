@@ -24,8 +24,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 #: Share of a group's documents that the estimate rests on.
 CORE_SHARE = 0.75
-#: Concentration steps from each start.
-STEPS = 3
+#: A concentration step that lowers the log determinant by no more than this
+#: (rounding of the sums) has settled.
+SETTLED = 1e-9
 #: Smallest group with an estimate of its own. ``judge_quality`` says by what
 #: the documents of smaller groups are judged.
 MIN_GROUP = 30
@@ -114,6 +115,18 @@ def _moments(rows: DataFrame, group: list[str]) -> DataFrame:
     return rows.groupBy(*group).agg(*sums)
 
 
+def _weighed(rows: DataFrame, group: list[str]) -> DataFrame:
+    """``_moments`` of rows that count ``_w`` each."""
+    weight = F.sum("_w")
+    sums = [weight.alias("n"), *[(F.sum(F.col("_w") * F.col(x)) / weight).alias(f"m_{x}") for x in DIMS]]
+    sums += [(F.sum(F.col("_w") * F.col(DIMS[i]) * F.col(DIMS[j])) / weight).alias(f"c_{i}_{j}") for i, j in PAIRS]
+    return (
+        rows.groupBy(*group)
+        .agg(*sums)
+        .withColumns({f"c_{i}_{j}": F.col(f"c_{i}_{j}") - F.col(f"m_{DIMS[i]}") * F.col(f"m_{DIMS[j]}") for i, j in PAIRS})
+    )
+
+
 def _shapes(moments: DataFrame, group: list[str]) -> DataFrame:
     """Per group the means, the inverse of the floored covariance (p_i_j) and
     its log determinant, from a frame with one row per group."""
@@ -163,35 +176,50 @@ BINS = 64
 
 
 def _concentrate(rows: DataFrame, shapes: DataFrame, group: list[str]) -> DataFrame:
-    """One concentration step: the moments of each group's CORE_SHARE nearest
-    documents. The share is cut at a bin of the distance (of width 1/BINS in
-    its logarithm), and all documents in the last bin count, so that the step
-    does not depend on the order of the rows."""
+    """One concentration step from each start (``_start`` of ``shapes``): the
+    moments of each group's CORE_SHARE nearest documents. The share is cut at a
+    bin of the distance (of width 1/BINS in its logarithm), and the documents in
+    the last bin count in part, each as much, so that the step does not depend
+    on the order of the rows and cores of all steps weigh the same."""
     near = _with_shape(rows, shapes, group).withColumn(
         "_bin", F.floor(F.log(squared_distance() + 1e-6) * BINS).cast("int")
     )
-    bins = near.groupBy(*group, "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    by = Window.partitionBy(*group)
-    running = F.sum("_c").over(by.orderBy("_bin"))
-    total = F.sum("_c").over(by)
+    by = [*group, "_start"]
+    bins = near.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    over = Window.partitionBy(*by)
+    running = F.sum("_c").over(over.orderBy("_bin"))
+    total = F.sum("_c").over(over)
     cuts = (
         bins.withColumns({"_upto": running, "_total": total})
         .where(F.col("_upto") >= F.ceil(CORE_SHARE * F.col("_total")))
-        .groupBy(*group)
-        .agg(F.min("_bin").alias("_cut"))
+        .groupBy(*by)
+        .agg(F.min(F.struct(F.col("_bin").alias("_cut"), "_upto", "_c", "_total")).alias("s"))
+        .select(*by, "s.*")
     )
-    core = _with_shape(near.select(*group, *DIMS, "_bin"), cuts, group).where("_bin <= _cut")
-    return _shapes(_moments(core, group), group)
+    core = _with_shape(near.select(*by, *DIMS, "_bin"), cuts, by).where("_bin <= _cut")
+    last = (F.ceil(CORE_SHARE * F.col("_total")) - F.col("_upto") + F.col("_c")) / F.col("_c")
+    return _shapes(_weighed(core.withColumn("_w", F.when(F.col("_bin") < F.col("_cut"), 1.0).otherwise(last)), by), by)
+
+
+def _lower(before: DataFrame, after: DataFrame, by: list[str]) -> DataFrame:
+    """Of each key's shapes the one with the smaller determinant; ``_falls`` if
+    that is the later one, by more than rounding."""
+    columns = [c for c in before.columns if c not in by]
+    stages = before.withColumn("_late", F.lit(0)).unionByName(after.withColumn("_late", F.lit(1)))
+    of = [F.min(F.when(F.col("_late") == k, F.col("logdet"))) for k in (0, 1)]
+    least = F.min(F.struct(F.col("logdet").alias("_det"), *_first("_late", columns)))
+    found = stages.groupBy(*by).agg(least.alias("s"), F.coalesce(of[1] < of[0] - SETTLED, F.lit(False)).alias("_falls"))
+    return found.select(*by, *[f"s.{c}" for c in columns], "_falls")
 
 
 def mcd_shapes(rows: DataFrame, group: list[str]) -> DataFrame:
     """MCD location and shape per group, from all its rows.
 
     Two starts: the classical moments, and the spread around the medians (by
-    percentile of each dimension, each scaled by its quartile range). From each
-    start STEPS concentration steps are taken, and per group the estimate with
-    the smaller determinant stays. Covariances are scaled up by the core's
-    consistency factor.
+    percentile of each dimension, each scaled by its quartile range). From both,
+    concentration steps go on, for the groups and starts whose determinant still
+    falls, until none does; per group the estimate with the smallest determinant
+    stays. Covariances are scaled up by the core's consistency factor.
     """
     rows = materialize(rows.select(*group, *DIMS))
     classical = _shapes(_moments(rows, group), group)
@@ -211,12 +239,13 @@ def mcd_shapes(rows: DataFrame, group: list[str]) -> DataFrame:
         ),
         group,
     )
-    ends = []
-    for start, shapes in enumerate((classical, robust)):
-        for _ in range(STEPS):
-            shapes = materialize(_concentrate(rows, shapes, group))
-        ends.append(shapes.withColumn("_start", F.lit(start)))
-    both = ends[0].unionByName(ends[1])
+    starts = classical.withColumn("_start", F.lit(0)).unionByName(robust.withColumn("_start", F.lit(1)))
+    both = materialize(_concentrate(rows, starts, group).withColumn("_falls", F.lit(True)))
+    # One row a group and start.
+    while both.where("_falls").limit(1).count():
+        after = _concentrate(rows, both.where("_falls").drop("_falls"), group)
+        both = materialize(_lower(both.drop("_falls"), after, [*group, "_start"]))
+    both = both.drop("_falls")
     columns = [c for c in both.columns if c not in group]
     best = both.groupBy(*group).agg(F.min(F.struct(F.col("logdet").alias("_det"), *_first("_start", columns))).alias("s"))
     return best.select(*group, *[f"s.{c}" for c in columns if c != "_start"])

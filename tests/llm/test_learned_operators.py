@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from callstats.llm import pii, quality, secret_scan, toxicity
 from callstats.llm.queries import QUERIES
@@ -220,6 +221,16 @@ def test_query_judges_small_groups(spark, tmp_path):
     assert {k for k, r in got.items() if not r["kept"]} == {k for k in got if k % 50 == 3}
 
 
+def test_concentration_settles(spark):
+    """One more step from the result does not lower the determinant."""
+    x = np.random.default_rng(0).uniform(-1, 1, (3000, 5))
+    rows = spark.createDataFrame(pd.DataFrame(x, columns=quality.DIMS).assign(g="a"))
+    found = quality.mcd_shapes(rows, ["g"]).withColumn("_start", F.lit(0))
+    further = quality._concentrate(rows, found, ["g"])
+    assert further.first()["logdet"] >= found.first()["logdet"] - 1e-6
+    assert quality.judge_quality(empty_docs(spark), lend=True).count() == 0
+
+
 def test_quality_of_odd_documents(spark):
     got = quality.judge_quality(odd_docs(spark)).collect()
     assert len(got) == len(ODD_TEXTS) + 3 and all(r["base_failed"] and not r["kept"] for r in got)
