@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstats.llm import decontam, mixing, pii, quality, secret_scan, sharding, simhash, stages, toxicity, urlfilter, warc
+from callstats.llm import (
+    decontam,
+    mixing,
+    packing,
+    periodic,
+    pii,
+    prefix_trie,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    stages,
+    toxicity,
+    urlfilter,
+    warc,
+)
 from callstats.session import scratch_path
 
 
@@ -80,6 +95,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared prefix of the rebuilt conversations."""
+    turns = prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, rewritten by its id."""
+    return periodic.periodic_runs(_table(spark, sf_dir, "documents"), ["doc_id"], rewrite_by="doc_id")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in the packed sequences."""
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_pii": op2_pii,
@@ -91,6 +125,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
 
 _UNITS = mixing.units_of(stages.WEIGHTS)
@@ -177,5 +214,49 @@ WITH u AS (
 )
 SELECT hp.page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
 FROM hp LEFT JOIN fit ON hp.page_id = fit.page_id
+""",
+    # Prefixes are named by the digests of their turns, joined; the smallest
+    # member of a node owns it, so that each is counted once.
+    "op11_prefix_trie": r"""
+WITH bytes AS (
+  SELECT b, list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+), crc_table AS (SELECT list(t ORDER BY b) AS t FROM bytes), slim AS (
+  SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) - 1 AS pos FROM slim
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS giver, xor(4294967295, list_reduce(
+           [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT),
+           lambda c, v: xor(c >> 8, t[xor(c & 255, v) + 1]))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table
+), path AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.id, t.n_bytes FROM convs c JOIN turns t ON t.conv_id = c.giver AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.id, t.n_bytes FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+), steps AS (
+  SELECT conv_id, n_bytes, row_number() OVER w AS depth, string_agg(id, '') OVER w AS prefix
+  FROM path WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), sized AS (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS len FROM steps),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = len) AS ends
+  FROM sized GROUP BY prefix, depth
+), kids AS (SELECT substr(prefix, 1, length(prefix) - 64) AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+known AS (
+  SELECT s.*, s.conv_id = n.conv_id AS own, coalesce(k.n, 0) AS n_children
+  FROM sized s JOIN nodes n ON s.prefix = n.prefix LEFT JOIN kids k ON s.prefix = k.prefix
+), summed AS (
+  SELECT prefix, sum(CASE WHEN own THEN 0 ELSE n_bytes END) OVER (PARTITION BY conv_id ORDER BY depth DESC) AS saved,
+         max((depth = len AND own AND n_children = 0)::INT) OVER (PARTITION BY conv_id) AS leaf
+  FROM known
+), totals AS (SELECT prefix, sum(saved) AS saved, sum(leaf) AS leaves FROM summed GROUP BY prefix)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+       t.leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN totals t ON n.prefix = t.prefix LEFT JOIN kids k ON n.prefix = k.prefix
+LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = substr(n.prefix, 1, length(n.prefix) - 64)
 """,
 }
