@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Callable
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +32,9 @@ from callstats.schema import (
     TOP_N,
     Roles,
 )
-from callstats.sinks.manifest import manifest_record, write_manifest
-from callstats.sinks.publish import discard, publish, staging_of
-from callstats.sinks.results import write_result
+from callstats.sinks.manifest import manifest_record, write_manifest, write_part_statistics
+from callstats.sinks.publish import attempt_of, discard, publish, retire
+from callstats.sinks.results import reached, write_parts
 from callstats.sources.cdr import read_table
 
 
@@ -157,11 +159,21 @@ def observed_rows(obs: Observation, source: DataFrame) -> tuple[int, int | None]
     When AQE finds an empty shuffle it drops the plan below it, metrics node
     included; only then is the (empty or tiny) input counted directly.
     """
+    seen = reached(obs)
+    if seen is not None:
+        return int(seen["rows"]), int(seen["rejected"])
+    n = source.count()
+    return n, None if n else 0
+
+
+def counted_after_failure(source: DataFrame | None) -> int:
+    """Input rows of a run that failed before its pass over the input was done:
+    what was observed by then is a part of them. The input is counted without the
+    columns that may have failed; 0 if it cannot be opened."""
     try:
-        return int(obs.get["rows"]), int(obs.get["rejected"])
-    except Exception:
-        n = source.count()
-        return n, None if n else 0
+        return source.count() if source is not None else 0
+    except (PySparkException, Py4JError):  # the run's own error is the one to report
+        return 0
 
 
 def resolve_run_id(run_id: str | None) -> str:
@@ -182,8 +194,8 @@ def run_job(
     input_count: str = "exact",
     **params,
 ) -> dict:
-    """Run job ``name`` on ``df``: write the result to
-    ``{output_base}/{job_name}/{run_id}/`` and a manifest beside it.
+    """Run job ``name`` on ``df`` and publish the result of run
+    ``{output_base}/{job_name}/{run_id}/`` with its manifest.
 
     ``df`` may be a function that opens the input, so that a missing input is
     reported like any other failure. The output row count is observed in the
@@ -202,11 +214,15 @@ def run_job(
     needs one (None unless ``input_count`` is ``"exact"``). So a column that does
     not parse is seen, although the run succeeds.
 
-    Result and manifest are written beside their place and renamed into it
-    together, so a failed run leaves an earlier result of the run as it was. On
-    failure a FAILURE manifest with the input count, if it is known by then, is
-    written and the error re-raised. The session's time zone is UTC while the
-    job runs; nothing depends on ANSI mode.
+    Every attempt writes result, part statistics and manifest into a folder of
+    its own under ``{output_base}/{job_name}/{run_id}/`` (``output_path``); one
+    small pointer then makes it the run's result (``sinks.publish``). So a failed
+    or killed run leaves an earlier result as it was. On failure the attempt's
+    folder keeps a FAILURE manifest alone, with the input count
+    (observed, or counted anew by ``counted_after_failure``; null with
+    ``"none"``), and the error is re-raised.
+    The session's time zone is UTC while the job runs; nothing depends on ANSI
+    mode.
     """
     if input_count not in INPUT_COUNTS:
         raise ValueError(f"input_count must be one of {INPUT_COUNTS}")
@@ -215,8 +231,8 @@ def run_job(
     job = JOBS[name]
     run_id = resolve_run_id(run_id)
     run_dir = f"{output_base.rstrip('/')}/{job.job_name}/{run_id}"
-    staged = staging_of(run_dir)
-    rows_in = rejected = None
+    attempt = attempt_of(run_dir)
+    rows_in = rejected = source = obs_in = None
     zone = spark.conf.get("spark.sql.session.timeZone")
     # Hours and times without a zone are UTC, whatever session runs the job.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -226,6 +242,10 @@ def run_job(
         if input_count == "exact":
             obs_in = Observation("input_rows")
             result = job.build(source, roles, input_rows=obs_in, **params)
+            # Jobs that store statistics first have read all of their input by now.
+            seen = reached(obs_in)
+            if seen is not None:
+                rows_in, rejected = int(seen["rows"]), int(seen["rejected"])
             gather = "coalesce" if job.single_file else None
         else:
             if input_count == "action":
@@ -233,23 +253,28 @@ def run_job(
             result = job.build(source, roles, **params)
         # Published in the job's fixed layout whatever the input types (a
         # projection in the same stage: the metrics stay where they are).
-        output_count = write_result(conform(result, job.schema), staged, single_file=gather or False)
-        if input_count == "exact":
+        parts = write_parts(conform(result, job.schema), attempt, single_file=gather or False)
+        if input_count == "exact" and rows_in is None:
             rows_in, rejected = observed_rows(obs_in, source)
-        record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in, output_count, "SUCCESS")
-        write_manifest(spark, record, staged)
-        publish(spark, staged, run_dir)
-        return record | {"rejected_record_count": rejected}
+        output_count = sum(p["rows"] for p in parts)
+        record = manifest_record(job.job_name, run_id, input_path, attempt + "/", rows_in, output_count, "SUCCESS")
+        write_part_statistics(spark, parts, attempt)
+        write_manifest(spark, record, attempt)
+        publish(spark, attempt)
     except Exception:
-        record = manifest_record(job.job_name, run_id, input_path, run_dir + "/", rows_in or 0, 0, "FAILURE")
+        if rows_in is None and input_count != "none":
+            rows_in = counted_after_failure(source)
+        record = manifest_record(job.job_name, run_id, input_path, attempt + "/", rows_in, 0, "FAILURE")
         try:
-            discard(spark, staged)
-            write_manifest(spark, record, run_dir)
-        except Exception:  # the original error matters more than the manifest's
+            discard(spark, attempt)
+            write_manifest(spark, record, attempt)
+        except (PySparkException, Py4JError):  # the original error matters more than the manifest's
             pass
         raise
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+    retire(spark, run_dir)
+    return record | {"rejected_record_count": rejected}
 
 
 def run(

@@ -167,7 +167,17 @@ from events group by 1
 """,
     "failed_run": """
 select 'revenue_reconciliation' as job_name, 'r0' as run_id, (select count(*) from events) as input_record_count,
-       'FAILURE' as status, 1 as actual_rows, false as ok
+       output_record_count, status, 1 as actual_rows, false as ok
+from (values (1, 'SUCCESS'), (0, 'FAILURE')) as attempts(output_record_count, status)
+""",
+    "published_versions": """
+select 'r0' as run_id, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as total_revenue,
+       1 as actual_rows, true as ok, 1 as killed_attempts
+from lineitem
+""",
+    "part_check": """
+select 'lines' as job_name, 'r0' as run_id, count(*) as recorded_rows, count(*) as found_rows, 1 as same_bytes, 1 as ok
+from orders
 """,
     "csv_roundtrip": """
 select o_custkey as caller_id,

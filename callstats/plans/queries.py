@@ -23,6 +23,7 @@ from callstats.operators.partitioning import repartition_by_key
 from callstats.operators.projection import conform
 from callstats.plans.cdr_runs import CDR_QUERIES, TEST_HEAVY_THRESHOLD
 from callstats.plans.jobs import (
+    JOBS,
     anomalous_calls,
     revenue_recon,
     run_job,
@@ -32,8 +33,9 @@ from callstats.plans.jobs import (
 )
 from callstats.schema import Roles
 from callstats.session import scratch_path
-from callstats.sinks.manifest import check_manifests, read_manifests
-from callstats.sinks.results import write_result
+from callstats.sinks.manifest import check_manifests, check_parts, leftovers, read_manifests, write_part_statistics
+from callstats.sinks.publish import attempt_of, publish
+from callstats.sinks.results import write_parts, write_result
 from callstats.sources.cdr import read_result
 
 ORDER_ROLES = Roles(caller="o_custkey", charge="o_totalprice")
@@ -185,22 +187,62 @@ def csv_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that fails over an earlier one: the earlier result still stands,
-    and the check reports the failure."""
+    """A run that fails over an earlier one: the earlier result still stands with
+    its manifest, the failure is recorded beside it with the input count, and
+    the check reports the run as not ok."""
     base = scratch_path(spark, "runs")
     ev = table(spark, sf_dir, "events")
     run_job(spark, "revenue_recon", ev, base, "r0", roles=EVENT_ROLES)
     bad = ev.withColumn("value", F.when(F.col("value").isNotNull(), F.raise_error(F.lit("unreadable"))).cast("double"))
     try:
-        run_job(spark, "revenue_recon", bad, base, "r0", roles=EVENT_ROLES, input_count="action")
+        run_job(spark, "revenue_recon", bad, base, "r0", roles=EVENT_ROLES)
     except Exception as error:
         if "unreadable" not in str(error):
             raise
     checked = check_manifests(spark, base, "revenue_reconciliation", "r0").select("job_name", "run_id", "actual_rows", "ok")
-    manifests = read_manifests(spark, base).select("job_name", "run_id", "input_record_count", "status")
+    manifests = read_manifests(spark, base).select(
+        "job_name", "run_id", "input_record_count", "output_record_count", "status"
+    )
     return manifests.join(checked, ["job_name", "run_id"])
 
 
+def published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue of ``orders``, then of ``lineitem`` as the same run, then an attempt
+    that was killed before its pointer: what readers see, and the check."""
+    base = scratch_path(spark, "runs")
+    run_job(spark, "revenue_recon", table(spark, sf_dir, "orders"), base, "r0", roles=ORDER_ROLES)
+    run_job(spark, "revenue_recon", table(spark, sf_dir, "lineitem"), base, "r0", roles=LINEITEM_ROLES)
+    run_dir = f"{base}/{JOBS['revenue_recon'].job_name}/r0"
+    write_result(revenue_total(spark, sf_dir), attempt_of(run_dir), single_file=True)
+    result = read_result(spark, run_dir, JOBS["revenue_recon"].schema).withColumn("run_id", F.lit("r0"))
+    left = leftovers(spark, base).groupBy("run_id").agg(F.count(F.lit(1)).alias("killed_attempts"))
+    checked = check_manifests(spark, base).select("run_id", "actual_rows", "ok")
+    return result.join(checked, "run_id").join(left, "run_id")
+
+
+def part_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's comment line, with line breaks and quotes put in, published
+    in many parts: rows recorded and found by part, per key."""
+    orders = table(spark, sf_dir, "orders")
+    text = F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"\n\\"'), F.col("o_orderpriority"), F.lit("\\\n,"))
+    lines = orders.select(F.when(F.col("o_orderkey") % 3 > 0, text).alias("line"), "o_orderkey")
+    base = scratch_path(spark, "runs")
+    attempt = attempt_of(f"{base}/lines/r0")
+    parts = write_parts(lines.repartition(7, "o_orderkey"), attempt)
+    write_part_statistics(spark, parts, attempt)
+    publish(spark, attempt)
+    return (
+        check_parts(spark, base)
+        .groupBy("job_name", "run_id")
+        .agg(
+            F.sum("rows").alias("recorded_rows"),
+            F.sum("found_rows").alias("found_rows"),
+            F.min((F.col("bytes") == F.col("found_bytes")).cast("int")).alias("same_bytes"),
+            F.min(F.col("ok").cast("int")).alias("ok"),
+        )
+    )
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top spend written as one headerless CSV part, read back with its schema."""
     result = top_spend(spark, sf_dir)
@@ -259,6 +301,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_null_keys": csv_null_keys,
     "failed_run": failed_run,
+    "published_versions": published_versions,
+    "part_check": part_check,
     "rejected_rows": rejected_rows,
     "revenue_fractional": revenue_fractional,
     "top_spend_fractional": top_spend_fractional,

@@ -3,17 +3,27 @@
 from callstats.sinks.manifest import (
     MANIFEST_DIR,
     check_manifests,
+    check_parts,
+    leftovers,
     manifest_record,
     read_manifests,
     write_manifest,
 )
-from callstats.sinks.results import write_result
+from callstats.sinks.publish import current, retire, sweep
+from callstats.sinks.results import count_records, write_parts, write_result
 
 __all__ = [
     "MANIFEST_DIR",
     "check_manifests",
+    "check_parts",
+    "count_records",
+    "current",
+    "leftovers",
     "manifest_record",
     "read_manifests",
+    "retire",
+    "sweep",
     "write_manifest",
+    "write_parts",
     "write_result",
 ]

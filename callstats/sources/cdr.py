@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from callstats.schema import CDR_SCHEMA
+from callstats.sinks.publish import current
 
 # Fixed value: how NULL is written in a result of one column, so that it still
 # writes a line. Results of several columns leave the field empty, which is
@@ -88,7 +89,8 @@ def read_table(
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A headerless result CSV written by ``write_result``; texts may hold line
-    breaks."""
+    breaks. A run's folder is read as the result its pointer names."""
+    path = current(spark, path) or path
     reader = spark.read.schema(schema).option("header", False).option("multiLine", True)
     # An empty field is NULL whatever nullValue says; a value of "" would also
     # turn the two quotes of an empty text into NULL.

@@ -6,7 +6,7 @@ heatmap (towers x 24 hours), revenue (one row) and top callers (one running
 total per caller, top ``n`` re-ranked per micro-batch). Anomaly detection needs
 every row against final statistics and stays a batch job.
 
-Each micro-batch writes the full current result to
+Each micro-batch publishes the full current result as run
 ``{output_base}/{job_name}/{run_id}-b{batch_id}/`` with the batch result sink
 and a manifest, so readers see complete, versioned snapshots. Stream state and
 progress live in ``checkpoint`` (a shared folder), so a restarted query
@@ -15,14 +15,16 @@ resumes where it stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from callstats.operators.projection import conform
 from callstats.plans.jobs import JOBS, resolve_run_id
 from callstats.schema import CDR_ROLES, CDR_SCHEMA, Roles
-from callstats.sinks.manifest import manifest_record, write_manifest
-from callstats.sinks.results import write_result
+from callstats.sinks.manifest import manifest_record, write_manifest, write_part_statistics
+from callstats.sinks.publish import attempt_of, publish, retire
+from callstats.sinks.results import write_parts
 from callstats.sources.cdr import header_schema
 
 STREAMABLE = ("top_callers", "tower_heatmap", "revenue_recon")
@@ -39,8 +41,10 @@ def read_cdr_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
     """
     try:
         schema = header_schema(spark, folder, CDR_SCHEMA)
-    except Exception:  # nothing to read yet
-        schema = CDR_SCHEMA
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        schema = CDR_SCHEMA  # nothing to read yet
     reader = (
         spark.readStream.schema(schema)
         .option("header", True)
@@ -75,13 +79,18 @@ def start_incremental(
     result = job.build(source, roles)
     base = output_base.rstrip("/")
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        run_dir = f"{base}/{job.job_name}/{run_id}-b{batch_id}"
-        rows = write_result(conform(batch, job.schema), run_dir, single_file=job.single_file)
+    def snapshot(batch: DataFrame, batch_id: int) -> None:
+        spark, run_dir = batch.sparkSession, f"{base}/{job.job_name}/{run_id}-b{batch_id}"
+        attempt = attempt_of(run_dir)  # a replayed batch publishes a new version
+        parts = write_parts(conform(batch, job.schema), attempt, single_file=job.single_file)
+        rows = sum(p["rows"] for p in parts)
         # the stream's total input is not known inside a micro-batch
-        record = manifest_record(job.job_name, f"{run_id}-b{batch_id}", input_path, run_dir + "/", None, rows, "SUCCESS")
-        write_manifest(batch.sparkSession, record, run_dir)
+        record = manifest_record(job.job_name, f"{run_id}-b{batch_id}", input_path, attempt + "/", None, rows, "SUCCESS")
+        write_part_statistics(spark, parts, attempt)
+        write_manifest(spark, record, attempt)
+        publish(spark, attempt)
+        retire(spark, run_dir)
 
-    writer = result.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
+    writer = result.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(snapshot)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

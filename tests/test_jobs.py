@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from callstats.plans.jobs import JOBS, resolve_run_id, run, run_job
 from callstats.schema import ANOMALY_SCHEMA, HEATMAP_SCHEMA, REVENUE_SCHEMA, TOP_CALLERS_SCHEMA
-from callstats.sinks.manifest import check_manifests, read_manifests
+from callstats.sinks.manifest import check_manifests, leftovers, read_manifests
+from callstats.sinks.publish import current
 from callstats.sources.cdr import read_cdr, read_result
 
 HEADER = "caller_id,receiver_id,duration_sec,tower_id,timestamp,call_type,charge_amount"
@@ -115,8 +116,12 @@ def test_header_only_file(spark, tmp_path, tmp_out):
 def test_rerun_replaces_run_directory(spark, cdr_file, tmp_out):
     m1 = run(spark, "top_callers", cdr_file, tmp_out, "same")
     m2 = run(spark, "top_callers", cdr_file, tmp_out, "same")
-    assert m1["output_path"] == m2["output_path"]
-    assert len(glob.glob(os.path.join(m2["output_path"], "part-*"))) == 1
+    # A new version beside the former one, which stays for its readers.
+    assert m1["output_path"] != m2["output_path"]
+    run_dir = os.path.dirname(m2["output_path"].rstrip("/"))
+    assert current(spark, run_dir) == m2["output_path"].rstrip("/")
+    for m in (m1, m2):
+        assert len(glob.glob(os.path.join(m["output_path"], "part-*"))) == 1
     assert read_manifests(spark, tmp_out).count() == 1
 
 
@@ -323,11 +328,12 @@ def test_a_failing_rerun_keeps_the_former_result(spark, tmp_path, tmp_out, when)
         run_job(spark, "top_callers", source, tmp_out, "r", input_path=path, input_count="action")
     rows = [tuple(r) for r in read_result(spark, good["output_path"], TOP_CALLERS_SCHEMA).collect()]
     assert rows == [("U1", 1.5)]
-    (m,) = read_manifests(spark, tmp_out, "top_callers_by_spend", "r").collect()
-    assert m["status"] == "FAILURE" and m["input_record_count"] == (0 if when == "before" else 1)
+    found = {m["status"]: m for m in read_manifests(spark, tmp_out, "top_callers_by_spend", "r").collect()}
+    assert found["FAILURE"]["input_record_count"] == (0 if when == "before" else 1)
+    assert found["SUCCESS"]["output_path"] == good["output_path"] and len(found) == 2
     (c,) = check_manifests(spark, tmp_out, "top_callers_by_spend", "r").collect()
-    assert not c["ok"] and c["actual_rows"] == 1
-    assert not [d for d in os.listdir(f"{tmp_out}/top_callers_by_spend") if d.startswith("_staging")]
+    assert not c["ok"] and (c["expected_rows"], c["actual_rows"]) == (1, 1)
+    assert leftovers(spark, tmp_out).count() == 0
 
 
 def test_parquet_input_by_suffix_and_line_breaks(spark, tmp_path, tmp_out):
