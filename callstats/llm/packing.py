@@ -50,6 +50,21 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class Remembered(dict):
+    """Values of a function by argument, forgotten all at once when there are
+    ``REMEMBERED`` of them."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, key):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[key] = value = self.of(key)
+        return value
+
+
 class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit words.
 
@@ -79,7 +94,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.spelling = byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(self._word)
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token."""
@@ -101,16 +116,7 @@ class Encoder:
             return self._ids([text])[0]
         if OTHER_LETTERS.search(text):
             return b"".join(self._ids(blocks(text)))
-        words = SPLIT.findall(text)
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            for w in new:
-                known[w] = self._word(w)
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.known.__getitem__, SPLIT.findall(text)))
 
 
 def blocks(text: str, size: int = AT_ONCE) -> list[str]:
