@@ -32,7 +32,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("input_path", nargs="?", default=DEFAULT_INPUT)
     p.add_argument("--output-base", default=DEFAULT_OUTPUT)
     p.add_argument("--format", default=None, help="csv (default), parquet, json")
-    p.add_argument("--input-count", choices=INPUT_COUNTS, default=None, help="action on Parquet, else exact")
+    p.add_argument("--input-count", choices=INPUT_COUNTS, default=None, help="exact by default")
+    p.add_argument("--keep-rejects", action="store_true", help="write the rows the job cannot use beside the result")
     p.add_argument(
         "--declared-order",
         action="store_true",
@@ -89,6 +90,7 @@ def main(argv: list[str] | None = None) -> dict | list[dict]:
         args.run_id,
         fmt=args.format,
         by_header=not args.declared_order,
+        keep_rejects=args.keep_rejects,
         **job_params(args),
     )
     print(json.dumps(manifest, indent=2))

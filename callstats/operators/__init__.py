@@ -8,6 +8,7 @@ from callstats.operators.aggregates import (
     top_by_sum,
     total,
 )
+from callstats.operators.heavy import candidate_rows, heavy_hitters_sketched
 from callstats.operators.lookup import (
     DEFAULT_BROADCAST_ROWS,
     lookup_join,
@@ -16,7 +17,7 @@ from callstats.operators.lookup import (
 )
 from callstats.operators.materialize import materialize
 from callstats.operators.outliers import STRATEGIES, can_exceed, zscore_outliers
-from callstats.operators.partitioning import DEFAULT_BUCKETS, key_bucket, repartition_by_key
+from callstats.operators.partitioning import DEFAULT_BUCKETS, heavy_layout, key_bucket, repartition_by_key, spread_by_key
 from callstats.operators.projection import conform
 
 __all__ = [
@@ -24,16 +25,20 @@ __all__ = [
     "DEFAULT_BUCKETS",
     "STRATEGIES",
     "can_exceed",
+    "candidate_rows",
     "conform",
     "count_by",
     "group_stats",
     "heavy_group_stats",
     "heavy_hitters",
+    "heavy_hitters_sketched",
+    "heavy_layout",
     "key_bucket",
     "lookup_join",
     "materialize",
     "repartition_by_key",
     "sized_lookup",
+    "spread_by_key",
     "stats_lookup",
     "top_by_sum",
     "total",

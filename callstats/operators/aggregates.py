@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callstats.functions.money import exact_sum
-from callstats.operators.materialize import materialize
 from callstats.schema import TOP_N
 
 # Names of the per-group counts carried for ``input_rows``: rows, and rows with
@@ -55,19 +54,37 @@ def top_by_sum(
     deterministic. Sort + limit plans as a distributed top-k
     (``TakeOrderedAndProject``): each task keeps its best ``n``.
 
-    With ``input_rows`` the per-key sums are first written to the shared
-    checkpoint folder (one row per key), and the input count is observed by
-    that job's result stage; the top-k then reads the checkpoint.
+    With ``input_rows`` the counts carried by all per-key sums are added up in a
+    scalar subquery and observed above the top-k, in the result stage. Both read
+    the same shuffled partial sums (one reused exchange): one pass over ``df``,
+    nothing written. The subquery's value comes from finished shuffle data, so a
+    re-run task counts nothing twice.
     """
     out_key = out_key or key
     aggs = [exact_sum(value).alias(out_value)]
     if input_rows is not None:
         aggs += count_rows(value)
     sums = df.groupBy(F.col(key).alias(out_key)).agg(*aggs)
-    if input_rows is not None:
-        sums = materialize(observe_rows_seen(sums, input_rows)).drop(ROWS_SEEN, ROWS_USED)
-    top = sums.orderBy(F.col(out_value).desc_nulls_last(), F.col(out_key).asc_nulls_last()).limit(n)
-    return top if input_rows is None else top.coalesce(1)
+    order = [F.col(out_value).desc_nulls_last(), F.col(out_key).asc_nulls_last()]
+    if input_rows is None:
+        return sums.orderBy(*order).limit(n)
+    # Both sides use every column, so that they plan the same exchange.
+    whole = sums.agg(
+        F.struct(
+            F.sum(ROWS_SEEN).alias("rows"),
+            F.sum(F.col(ROWS_SEEN) - F.col(ROWS_USED)).alias("rejected"),
+            F.sum(out_value).alias("total"),
+        )
+    ).scalar()
+    top = sums.orderBy(*order).limit(n).withColumn("_whole", whole)
+    return top.observe(
+        input_rows,
+        F.max("_whole.rows").alias("rows"),
+        F.max("_whole.rejected").alias("rejected"),
+        F.max("_whole.total").alias("total"),
+        F.sum(ROWS_SEEN).alias("rows_of_top"),
+        F.sum(ROWS_USED).alias("used_of_top"),
+    ).select(out_key, out_value)
 
 
 def total(df: DataFrame, value: str, out: str = "total", input_rows: Observation | None = None) -> DataFrame:

@@ -17,6 +17,8 @@ small enough to broadcast: the rows then never move.
 
 ``strategy="auto"``  stats broadcast when their row count is small, otherwise
                      a sort-merge join that AQE skew-splits on the row side.
+                     Before it, rows within the bounds of their key's hash cell
+                     are dropped in place (``beyond_bounds``).
 ``strategy="split"`` as ``auto`` while the stats can be broadcast; beyond that the
                      keys above ``heavy_threshold`` rows (if they are at most
                      ``max_heavy_keys``) are judged against their own broadcast
@@ -29,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from callstats.operators.heavy import cell_of
 from callstats.operators.lookup import DEFAULT_BROADCAST_ROWS, sided, size_columns
 from callstats.operators.materialize import materialize
 from callstats.schema import HEAVY_THRESHOLD, SIGMAS
@@ -89,6 +92,30 @@ def _loosest(k: float) -> list[Column]:
     ]
 
 
+#: Most cells of the bounds that are broadcast to the rows of a sort-merge join.
+MAX_CELLS = 1 << 20
+
+
+def bounds_by_cell(stats: DataFrame, key: str, k: float, cells: int) -> DataFrame:
+    """Bounds of the candidates per hash of the key: a Bloom filter with one hash
+    that also knows between which values its keys have no outlier."""
+    return stats.where(_candidates(k)).groupBy(cell_of(key, cells).alias("_cell")).agg(*_loosest(k))
+
+
+def beyond_bounds(rows: DataFrame, stats: DataFrame, key: str, value: str, k: float, candidates: int) -> DataFrame:
+    """The rows that can be outliers by the bounds of their key's cell.
+
+    Joined in place: the cells are at most ``MAX_CELLS`` rows of three numbers,
+    whatever the number of keys. With fewer candidates than cells most rows meet
+    their own key's bounds or none, so one narrow key lets no others pass.
+    """
+    cells = min(MAX_CELLS, 1 << max(10, (4 * candidates).bit_length()))
+    bounds = bounds_by_cell(stats, key, k, cells).select("_cell", F.col("low").alias("_low"), F.col("high").alias("_high"))
+    there = rows.withColumn("_cell", cell_of(key, cells)).join(F.broadcast(bounds), "_cell")
+    kept = there.where((F.col(value) < F.col("_low")) | (F.col(value) > F.col("_high")))
+    return kept.select(*rows.columns)
+
+
 def zscore_outliers(
     df: DataFrame,
     key: str,
@@ -144,8 +171,11 @@ def zscore_outliers(
     lookup = stats.where(_candidates(k)).select(key, MEAN, SPREAD)
     side, fits = sided(lookup, found["rows"], found["bytes"], max_broadcast_rows)
     if fits or strategy == "auto" or found["heavy"] > max_heavy_keys:
+        if not fits:
+            rows = beyond_bounds(rows, stats, key, value, k, found["rows"])
         hits = rows.join(side, key).where(_deviates(value, k))
     else:
+        rows = beyond_bounds(rows, stats, key, value, k, found["rows"])
         # Heavy keys are few: their statistics are broadcast and their rows
         # judged in place, so only outliers of theirs reach the shuffle.
         heavy = stats.where(is_heavy).select(

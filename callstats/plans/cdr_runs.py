@@ -19,6 +19,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callstats.plans.jobs import JOBS, run
 from callstats.schema import (
@@ -30,6 +31,7 @@ from callstats.schema import (
 )
 from callstats.session import scratch_path
 from callstats.sinks.manifest import check_manifests, read_manifests
+from callstats.sinks.rejects import RAW_LINE, read_rejects
 from callstats.sources.cdr import read_result
 from callstats.streaming import read_cdr_stream, start_incremental
 
@@ -115,6 +117,26 @@ def job_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.join(checked, ["job_name", "run_id"])
 
 
+def kept_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue of a CDR CSV in which some charges are no numbers or missing: the
+    rejected rows as kept, and how many the run's record counts."""
+    csv = scratch_path(spark, "cdr-csv")
+    charge = F.when(F.length("caller_id") % 2 == 0, F.concat(F.col("charge_amount"), F.lit(" EUR"))).otherwise(
+        F.when(F.col("tower_id") != "view", F.col("charge_amount").cast("string"))
+    )
+    cdr_from_events(spark, sf_dir).withColumn("charge_amount", charge).write.option("header", True).csv(csv)
+    base = scratch_path(spark, "runs")
+    record = run(spark, "revenue_recon", csv, base, "r0", keep_rejects=True)
+    schema = T.StructType([*CDR_SCHEMA.fields, T.StructField(RAW_LINE, T.StringType())])
+    kept = read_rejects(spark, f"{base}/{record['job_name']}/r0", schema)
+    return kept.select(
+        "caller_id",
+        "timestamp",
+        F.element_at(F.split(RAW_LINE, ","), -1).alias("raw_charge"),
+        F.lit(record["rejected_record_count"]).cast("long").alias("counted"),
+    )
+
+
 def stream_on_cdr(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Job ``name`` kept current by the incremental run while the CDR CSV
     arrives as ``STREAM_BATCHES`` files; the snapshot after the last one."""
@@ -156,6 +178,7 @@ CDR_QUERIES = {
     "job_anomalous_calls_split": job_anomalous_calls_split,
     "job_revenue_recon": job_revenue_recon,
     "job_manifests": job_manifests,
+    "kept_rejects": kept_rejects,
     "stream_top_callers": stream_top_callers,
     "stream_tower_heatmap": stream_tower_heatmap,
     "stream_revenue_recon": stream_revenue_recon,

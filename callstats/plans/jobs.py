@@ -12,7 +12,7 @@ from typing import Callable
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +34,9 @@ from callstats.schema import (
 )
 from callstats.sinks.manifest import manifest_record, write_manifest, write_part_statistics
 from callstats.sinks.publish import attempt_of, discard, publish, retire
+from callstats.sinks.rejects import RAW_LINE, write_rejects
 from callstats.sinks.results import reached, write_parts
-from callstats.sources.cdr import read_table
+from callstats.sources.cdr import read_cdr, read_table
 
 
 def top_callers(
@@ -123,6 +124,18 @@ def revenue_recon(df: DataFrame, roles: Roles = CDR_ROLES, input_rows: Observati
     return total(df, roles.charge, "total_revenue", input_rows=input_rows)
 
 
+def _no_charge(df: DataFrame, roles: Roles) -> Column:
+    return F.col(roles.charge).isNull()
+
+
+def _no_hour(df: DataFrame, roles: Roles) -> Column:
+    return hour_of_day(as_timestamp(df.schema[roles.timestamp].dataType, roles.timestamp)).isNull()
+
+
+def _no_duration(df: DataFrame, roles: Roles) -> Column:
+    return F.col(roles.caller).isNull() | F.col(roles.duration).isNull()
+
+
 @dataclass(frozen=True)
 class Job:
     job_name: str
@@ -135,6 +148,8 @@ class Job:
     one_file: str | None
     # Layout of the published CSV: column order and types.
     schema: T.StructType
+    # Which input rows the job cannot use: those of ``rejected_record_count``.
+    rejects: Callable[[DataFrame, Roles], Column]
 
     @property
     def single_file(self) -> bool:
@@ -143,10 +158,10 @@ class Job:
 
 # Logical query names and the job names used in output paths.
 JOBS: dict[str, Job] = {
-    "top_callers": Job("top_callers_by_spend", top_callers, "coalesce", TOP_CALLERS_SCHEMA),
-    "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, "repartition", HEATMAP_SCHEMA),
-    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, None, ANOMALY_SCHEMA),
-    "revenue_recon": Job("revenue_reconciliation", revenue_recon, "coalesce", REVENUE_SCHEMA),
+    "top_callers": Job("top_callers_by_spend", top_callers, "coalesce", TOP_CALLERS_SCHEMA, _no_charge),
+    "tower_heatmap": Job("tower_utilization_heatmap", tower_heatmap, "repartition", HEATMAP_SCHEMA, _no_hour),
+    "anomalous_calls": Job("anomalous_call_detection", anomalous_calls, None, ANOMALY_SCHEMA, _no_duration),
+    "revenue_recon": Job("revenue_reconciliation", revenue_recon, "coalesce", REVENUE_SCHEMA, _no_charge),
 }
 
 INPUT_COUNTS = ("exact", "action", "none")
@@ -160,7 +175,7 @@ def observed_rows(obs: Observation, source: DataFrame) -> tuple[int, int | None]
     included; only then is the (empty or tiny) input counted directly.
     """
     seen = reached(obs)
-    if seen is not None:
+    if seen is not None and seen["rows"] is not None:
         return int(seen["rows"]), int(seen["rejected"])
     n = source.count()
     return n, None if n else 0
@@ -192,6 +207,7 @@ def run_job(
     input_path: str = "",
     roles: Roles = CDR_ROLES,
     input_count: str = "exact",
+    keep_rejects: bool = False,
     **params,
 ) -> dict:
     """Run job ``name`` on ``df`` and publish the result of run
@@ -214,6 +230,10 @@ def run_job(
     needs one (None unless ``input_count`` is ``"exact"``). So a column that does
     not parse is seen, although the run succeeds.
 
+    With ``keep_rejects`` these rows are written, whole, beside the result
+    (``sinks.rejects``): if the count found any, or is not known, they are
+    filtered from the input in a pass of their own.
+
     Every attempt writes result, part statistics and manifest into a folder of
     its own under ``{output_base}/{job_name}/{run_id}/`` (``output_path``); one
     small pointer then makes it the run's result (``sinks.publish``). So a failed
@@ -260,6 +280,8 @@ def run_job(
         record = manifest_record(job.job_name, run_id, input_path, attempt + "/", rows_in, output_count, "SUCCESS")
         write_part_statistics(spark, parts, attempt)
         write_manifest(spark, record, attempt)
+        if keep_rejects and rejected != 0:
+            write_rejects(source.where(job.rejects(source, roles)), attempt)
         publish(spark, attempt)
     except Exception:
         if rows_in is None and input_count != "none":
@@ -292,13 +314,15 @@ def run(
 
     Without ``fmt`` the suffix decides: ``.parquet``, ``.json``, else CSV. CSV
     columns are matched by header name unless ``by_header=False`` (see
-    ``read_cdr``). Parquet input is counted from its footers, text input in the
-    job's own pass, unless ``input_count`` says otherwise.
+    ``read_cdr``). With ``keep_rejects`` the rejected rows of a CSV carry their
+    raw line where a cell did not fit its type.
     """
     fmt = fmt or next((f for f in ("parquet", "json") if input_uri.rstrip("/").endswith(f".{f}")), "csv")
-    params.setdefault("input_count", "action" if fmt == "parquet" else "exact")
+    raw = RAW_LINE if fmt == "csv" and params.get("keep_rejects") else None
 
     def source() -> DataFrame:
+        if raw:
+            return read_cdr(spark, input_uri, corrupt_column=raw, by_header=by_header)
         return read_table(spark, input_uri, fmt, by_header=by_header)
 
     return run_job(spark, name, source, output_base, run_id, input_path=input_uri, roles=roles, **params)

@@ -81,13 +81,14 @@ from counts
 # polynomial 0xEDB88320 = 3988292384, initial value and final xor
 # 0xFFFFFFFF) folded over the key's bytes. Keys are decimal digits, so
 # ascii() gives the UTF-8 bytes.
-_KEY_BUCKET = """
-with k as (select event_id, user_id, cast(user_id as varchar) as s from events)
-select event_id, user_id as caller_id,
-  cast(xor(list_reduce(
+_CRC_BUCKET = """cast(xor(list_reduce(
       list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))),
       lambda c, x: list_reduce(range(8), lambda r, j: xor(r >> 1, 3988292384 & -(r & 1)), xor(c, x)),
-      4294967295::BIGINT), 4294967295) % 20 as int) as bucket
+      4294967295::BIGINT), 4294967295) % 20 as int) as bucket"""
+
+_KEY_BUCKET = f"""
+with k as (select event_id, user_id, cast(user_id as varchar) as s from events)
+select event_id, user_id as caller_id, {_CRC_BUCKET}
 from k
 """
 
@@ -119,6 +120,9 @@ select cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as total_reve
 """,
     "heavy_hitters": """
 select user_id as caller_id, count(*) as n from events group by user_id having count(*) > 80
+""",
+    "heavy_hitters_sketch": """
+select user_id as caller_id, count(*) as n from events group by user_id having count(*) > 80
 """,
     "group_stats": """
 select user_id as caller_id, count(*) as n,
@@ -196,12 +200,28 @@ select 'top_callers_by_spend' as job_name, 'r0' as run_id,
 """,
     "key_bucket": _KEY_BUCKET,
     "key_partition": f"select *, bucket as partition from ({_KEY_BUCKET})",
+    "key_spread": f"""
+with k as (select case when event_id % 2 = 0 then -1 else user_id end as caller_id from events),
+n as (select caller_id, cast(caller_id as varchar) as s, count(*) as n from k group by caller_id)
+select caller_id, bucket, n, case when n > 500 then (n + 499) // 500 else 1 end as partitions,
+       case when n <= 500 then bucket end as first_level
+from (select caller_id, n, {_CRC_BUCKET} from n)
+""",
     "job_top_callers": _CDR_TOP,
     "job_tower_heatmap": _CDR_HEATMAP,
     "job_anomalous_calls": _CDR_ANOMALIES,
     "job_anomalous_calls_split": _CDR_ANOMALIES,
     "job_revenue_recon": _CDR_REVENUE,
     "job_manifests": _CDR_MANIFESTS,
+    "kept_rejects": """
+with r as (
+  select 'USER_' || user_id as caller_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as timestamp,
+         length('USER_' || user_id) % 2 = 0 as worded, event_type, value
+  from events
+)
+select caller_id, timestamp, case when worded then value || ' EUR' end as raw_charge, count(*) over () as counted
+from r where worded or event_type = 'view'
+""",
     "stream_top_callers": _CDR_TOP,
     "stream_tower_heatmap": _CDR_HEATMAP,
     "stream_revenue_recon": _CDR_REVENUE,

@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from callstats.functions.time import ISO_MICROS
 from callstats.operators.aggregates import group_stats, heavy_group_stats, heavy_hitters
 from callstats.operators.lookup import stats_lookup as stats_lookup_op
+from callstats.operators.heavy import heavy_hitters_sketched
+from callstats.operators.partitioning import DEFAULT_BUCKETS, repartition_by_key, spread_by_key
 from callstats.operators.partitioning import key_bucket as key_bucket_op
-from callstats.operators.partitioning import repartition_by_key
 from callstats.operators.projection import conform
 from callstats.plans.cdr_runs import CDR_QUERIES, TEST_HEAVY_THRESHOLD
 from callstats.plans.jobs import (
@@ -40,6 +41,8 @@ from callstats.sources.cdr import read_result
 
 ORDER_ROLES = Roles(caller="o_custkey", charge="o_totalprice")
 EVENT_ROLES = Roles(caller="user_id", duration="value", tower="event_type", timestamp="ts", charge="value")
+#: Rows of one partition in the spread placement of the test tables.
+SPREAD_ROWS = 500
 LINEITEM_ROLES = Roles(caller="l_suppkey", charge="l_extendedprice")
 
 
@@ -88,6 +91,29 @@ def heavy_hitters_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heavy_hitters(ev, "user_id", TEST_HEAVY_THRESHOLD).withColumnRenamed("user_id", "caller_id")
 
 
+def heavy_hitters_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys by a sketch and a recount of its candidates."""
+    ev = table(spark, sf_dir, "events")
+    found = heavy_hitters_sketched(ev, "user_id", TEST_HEAVY_THRESHOLD)
+    return found.withColumnRenamed("user_id", "caller_id")
+
+
+def key_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placement in two levels with half of all rows on one key: per key its
+    bucket, rows and partitions."""
+    ev = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 2 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("caller_id")
+    )
+    placed = key_bucket_op(spread_by_key(ev, "caller_id", SPREAD_ROWS), "caller_id")
+    at = placed.withColumn("partition", F.spark_partition_id())
+    per_part = at.groupBy("caller_id", "bucket", "partition").agg(F.count(F.lit(1)).alias("n"))
+    return per_part.groupBy("caller_id", "bucket").agg(
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("partitions"),
+        F.min(F.when(F.col("partition") < DEFAULT_BUCKETS, F.col("partition"))).alias("first_level"),
+    )
+
+
 def group_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = group_stats(table(spark, sf_dir, "events"), "user_id", "value")
     return stats.select(
@@ -291,6 +317,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_total": revenue_total,
     "revenue_lineitem": revenue_lineitem,
     "heavy_hitters": heavy_hitters_q,
+    "heavy_hitters_sketch": heavy_hitters_sketch,
     "group_stats": group_stats_q,
     "heavy_group_stats": heavy_group_stats_q,
     "stats_lookup": stats_lookup,
@@ -310,5 +337,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_check": manifest_check,
     "key_bucket": key_bucket,
     "key_partition": key_partition,
+    "key_spread": key_spread,
     **CDR_QUERIES,
 }

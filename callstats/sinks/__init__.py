@@ -10,6 +10,7 @@ from callstats.sinks.manifest import (
     write_manifest,
 )
 from callstats.sinks.publish import current, retire, sweep
+from callstats.sinks.rejects import read_rejects, write_rejects
 from callstats.sinks.results import count_records, write_parts, write_result
 
 __all__ = [
@@ -21,9 +22,11 @@ __all__ = [
     "leftovers",
     "manifest_record",
     "read_manifests",
+    "read_rejects",
     "retire",
     "sweep",
     "write_manifest",
     "write_parts",
+    "write_rejects",
     "write_result",
 ]

@@ -79,35 +79,34 @@ def _split(path: Column, depth: int) -> list[Column]:
     return [F.url_decode(F.element_at(pieces, k - 2 - depth - 1)).alias(n) for k, n in enumerate(names)]
 
 
-def _found(reader: Callable[[], DataFrame], schema: str) -> Callable[[SparkSession], DataFrame]:
+def found_or_empty(spark: SparkSession, reader: Callable[[], DataFrame], schema: T.StructType | str) -> DataFrame:
     """The frame of ``reader``, or an empty one where no file matches."""
-
-    def read(spark: SparkSession) -> DataFrame:
-        try:
-            return reader()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], schema)
-
-    return read
+    try:
+        return reader()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _pointers(spark: SparkSession, runs: str) -> DataFrame:
+    """``job_name``, ``run_id`` and ``name`` of every pointer, by listing."""
+    files = spark.read.format("binaryFile")
+    found = found_or_empty(spark, lambda: files.load(f"{runs}/{POINTERS}/*").select("path"), "path string")
+    pieces = F.split("path", "/")
+    return found.select(
+        F.url_decode(F.element_at(pieces, -4)).alias("job_name"),
+        F.url_decode(F.element_at(pieces, -3)).alias("run_id"),
+        F.element_at(pieces, -1).alias("name"),
+    )
 
 
 def _published(spark: SparkSession, runs: str) -> DataFrame:
     """``job_name``, ``run_id`` and the published ``attempt`` of every run: the
     pointer with the highest version. Only names are read, no file's content."""
-    read = _found(
-        lambda: spark.read.format("binaryFile").load(f"{runs}/{POINTERS}/*").select("path"), "path string"
-    )
     # Version and attempt sort as the pointers' names do.
     pointer = F.struct(F.regexp_extract("name", r"^(\d+)~", 1).cast("long").alias("v"), F.substring_index("name", "~", -1).alias("a"))
-    pieces = F.split("path", "/")
-    named = read(spark).select(
-        F.url_decode(F.element_at(pieces, -4)).alias("job_name"),
-        F.url_decode(F.element_at(pieces, -3)).alias("run_id"),
-        F.element_at(pieces, -1).alias("name"),
-    )
-    return named.groupBy(*RUN).agg(F.max(pointer)["a"].alias("attempt"))
+    return _pointers(spark, runs).groupBy(*RUN).agg(F.max(pointer)["a"].alias("attempt"))
 
 
 def _attempt_manifests(spark: SparkSession, runs: str) -> DataFrame:
@@ -155,24 +154,28 @@ def check_parts(
     published = _published(spark, runs)
     key = [*RUN, "attempt", "part"]
     files = f"{runs}/{ATTEMPT}*/part-*"
-    recorded = _found(
+    place = "job_name string, run_id string, attempt string, part string"
+    recorded = found_or_empty(
+        spark,
         lambda: spark.read.schema(PARTS_SCHEMA)
         .json(f"{runs}/{ATTEMPT}*/{PARTS_DIR}")
         .select(*_split(F.col("_metadata.file_path"), 2), "part", "rows", "bytes"),
-        "job_name string, run_id string, attempt string, part string, rows long, bytes long",
-    )(spark)
-    sizes = _found(
+        f"{place}, rows long, bytes long",
+    )
+    sizes = found_or_empty(
+        spark,
         lambda: spark.read.format("binaryFile")
         .load(files)
         .select(*_split(F.col("path"), 1), F.substring_index("path", "/", -1).alias("part"), F.col("length").alias("found_bytes")),
-        "job_name string, run_id string, attempt string, part string, found_bytes long",
-    )(spark)
-    counts = _found(
+        f"{place}, found_bytes long",
+    )
+    counts = found_or_empty(
+        spark,
         lambda: count_records(spark, files).select(
             *_split(F.col("file"), 1), F.substring_index("file", "/", -1).alias("part"), F.col("records").alias("found_rows")
         ),
-        "job_name string, run_id string, attempt string, part string, found_rows long",
-    )(spark)
+        f"{place}, found_rows long",
+    )
     there = sizes.join(counts, key, "left")
     both = recorded.join(there, key, "full_outer").join(published, [*RUN, "attempt"], "left_semi")
     same = (F.col("rows") == F.col("found_rows")) & (F.col("bytes") == F.col("found_bytes"))
@@ -218,13 +221,9 @@ def leftovers(
     runs = _runs(output_base, job_name, run_id)
     schema = "job_name string, run_id string, attempt string"
     all_of = spark.createDataFrame(attempts(spark, runs), schema)
-    failed = _found(lambda: _attempt_manifests(spark, runs).where("status = 'FAILURE'").select(*RUN, "attempt"), schema)(spark)
-    read = _found(lambda: spark.read.format("binaryFile").load(f"{runs}/{POINTERS}/*").select("path"), "path string")
-    pieces = F.split("path", "/")
-    pointed = read(spark).select(
-        F.url_decode(F.element_at(pieces, -4)).alias("job_name"),
-        F.url_decode(F.element_at(pieces, -3)).alias("run_id"),
-        F.substring_index(F.element_at(pieces, -1), "~", -1).alias("attempt"),
+    failed = found_or_empty(
+        spark, lambda: _attempt_manifests(spark, runs).where("status = 'FAILURE'").select(*RUN, "attempt"), schema
     )
+    pointed = _pointers(spark, runs).select(*RUN, F.substring_index("name", "~", -1).alias("attempt"))
     known = failed.unionByName(pointed)
     return all_of.join(known, [*RUN, "attempt"], "left_anti")

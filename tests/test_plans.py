@@ -45,10 +45,13 @@ def test_outliers_native_and_pruned(spark):
 def test_outliers_broadcast_when_small_sortmerge_when_not(spark):
     assert "BroadcastHashJoin" in plan_text(QUERIES["outlier_events"](spark, SF))
     shuffled = plan_text(QUERIES["outlier_events_shuffle"](spark, SF))
-    assert "SortMergeJoin" in shuffled and "BroadcastHashJoin" not in shuffled
+    # The keys' statistics are shuffled; only the bounds of the hash cells, a table
+    # of fixed size, are joined in place.
+    assert "SortMergeJoin" in shuffled
+    assert re.findall(r"BroadcastHashJoin\s+Left keys \[1\]: \[(\w+)#", shuffled) == ["_cell"]
 
 
-def test_hot_key_is_split_by_aqe_and_result_is_exact(spark):
+def test_hot_key_is_split_by_aqe_and_result_is_exact(spark, monkeypatch):
     """One key holds half the rows; stats are too big to broadcast by rule.
     AQE must split the hot key's join partition, and the rows must equal a
     brute-force computation."""
@@ -76,6 +79,8 @@ def test_hot_key_is_split_by_aqe_and_result_is_exact(spark):
             F.lit(5_000).alias("k"), (F.col("id") + n).alias("t"), F.when(F.col("id") == 0, 1.0).otherwise(0.001 * (F.col("id") % 2)).alias("v")
         )
         df = df.unionByName(calm)
+        # And one cell for all keys keeps the bounds before the join loose.
+        monkeypatch.setattr("callstats.operators.outliers.MAX_CELLS", 1)
         out = zscore_outliers(df, "k", "v", keep=["t"], max_broadcast_rows=0)
         got = sorted((r["k"], r["t"]) for r in out.collect())
         final = out._jdf.queryExecution().executedPlan().toString()
@@ -148,6 +153,88 @@ def test_counted_jobs_observe_in_the_final_stage(spark):
         assert metrics < first_exchange or "Coalesce 1" in lines[metrics + 1]
 
 
+def test_top_callers_counts_its_input_from_one_reused_shuffle(spark, tmp_path):
+    """Top-k and input count read the same shuffled sums of a CSV: one scan, one
+    exchange by key, no checkpoint in between."""
+    from pyspark.sql import Observation
+
+    from callstats.plans.jobs import top_callers
+    from callstats.sources.cdr import read_cdr
+    from tests.test_jobs import write_csv
+
+    lines = [f"U{i % 13},U1,60,T1,2023-10-01T10:00:00,VOICE,{i}.25" for i in range(300)] + ["U1,U1,60,T1,x,VOICE,none"]
+    src = read_cdr(spark, write_csv(str(tmp_path / "cdr.csv"), lines))
+    seen = Observation("t")
+    top = top_callers(src, n=5, input_rows=seen)
+    assert len(top.collect()) == 5
+    assert (seen.get["rows"], seen.get["rejected"]) == (301, 1)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0] + plan.split("Subquery")[1].split("Initial Plan")[0]
+    assert "ReusedExchange" in final and "Scan ExistingRDD" not in plan
+    metrics = seen.get
+    assert metrics["rows_of_top"] < metrics["rows"]
+    empty = Observation("e")
+    assert top_callers(src.limit(0), input_rows=empty).collect() == []
+
+
+def test_cell_bounds_keep_rows_out_of_the_sort_merge_join(spark):
+    """A narrow key with an outlier spoils the bound over all keys; the bounds of
+    the keys' cells still drop nearly every row before the shuffle."""
+    from callstats.operators import outliers
+
+    wide = spark.range(200_000).select(
+        (F.col("id") % 500).alias("k"), F.when(F.col("id") < 500, 90_000.0).otherwise(1000.0 + F.col("id") % 997).alias("v")
+    )
+    narrow = spark.range(400).select(F.lit(-1).cast("long").alias("k"), F.when(F.col("id") == 7, 1.5).otherwise(1.0).alias("v"))
+    rows = wide.unionByName(narrow)
+    stats = outliers._stats(rows, "k", "v").where(outliers._candidates(3.0))
+    loosest = stats.agg(*outliers._loosest(3.0)).first()
+    before = rows.where((F.col("v") < loosest["low"]) | (F.col("v") > loosest["high"])).count()
+    after = outliers.beyond_bounds(rows, stats, "k", "v", 3.0, stats.count()).count()
+    hits = zscore_outliers(rows, "k", "v", max_broadcast_rows=0).count()
+    assert before > 199_000 and hits <= after < 2_000
+    assert hits == zscore_outliers(rows, "k", "v").count() == 501
+    # Few cells, many keys in each: looser, never wrong.
+    few = outliers.bounds_by_cell(stats, "k", 3.0, 4)
+    assert few.count() == 4 and few.where("low is null or high is null").count() == 0
+
+
+def test_sketched_heavy_keys_shuffle_no_light_ones(spark):
+    from callstats.operators.aggregates import heavy_hitters
+    from callstats.operators.heavy import candidate_rows, heavy_hitters_sketched
+
+    df = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 300 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    want = {(r["k"], r["n"]) for r in heavy_hitters(df, "k", 200).collect()}
+    assert {(r["k"], r["n"]) for r in heavy_hitters_sketched(df, "k", 200).collect()} == want == {("hot", 30_000), (None, 300)}
+    assert 30_300 <= candidate_rows(df, "k", 200).count() < 30_400  # a light key or two in a heavy cell
+    # Cells shared with many light keys, and a lookup too large to broadcast.
+    for cells, broadcast in ((64, 500_000), (1 << 20, 0)):
+        found = heavy_hitters_sketched(df, "k", 200, cells=cells, max_broadcast_rows=broadcast)
+        assert {(r["k"], r["n"]) for r in found.collect()} == want
+    assert heavy_hitters_sketched(df.limit(0), "k", 0).count() == 0
+
+
+def test_spread_placement_splits_large_keys_only(spark):
+    from callstats.operators.partitioning import heavy_layout, key_bucket, spread_by_key
+
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    layout, total = heavy_layout(df, "k", 1000)
+    got = {r["k"]: (r["_first"], r["_parts"]) for r in layout.collect()}
+    assert got == {None: (20, 4), "hot": (24, 20)} and total == 44
+    placed = key_bucket(spread_by_key(df, "k", 1000), "k").withColumn("p", F.spark_partition_id())
+    sizes = {r["p"]: r["count"] for r in placed.groupBy("p").count().collect()}
+    assert sum(sizes.values()) == 40_000 and max(sizes.values()) < 2_000
+    light = placed.where("k is not null and k <> 'hot'")
+    assert light.count() == 16_000 and light.where("p <> bucket").count() == 0
+    assert placed.where("k = 'hot' and (p < 24 or p >= 44)").count() == 0
+    assert placed.columns == ["k", "bucket", "p"]
+    assert spread_by_key(df.limit(0), "k", 10).count() == 0
+
+
 def test_exact_input_count_takes_no_extra_pass(spark, tmp_path):
     """The default input count comes from the job's own pass: ``count()`` is
     never called on the source, and the count equals the table's rows."""

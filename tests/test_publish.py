@@ -208,3 +208,35 @@ def test_a_run_whose_attempts_all_failed(spark, tmp_out):
     (c,) = check_manifests(spark, tmp_out).collect()
     assert (c["expected_rows"], c["actual_rows"], c["ok"]) == (0, 0, False)
     assert leftovers(spark, tmp_out).count() == 0
+
+
+def test_rejects_are_kept_whole_with_their_raw_line(spark, tmp_path, tmp_out):
+    """As many as the record counts, for every job, from CSV and from Parquet."""
+    from callstats.plans.jobs import run
+    from callstats.schema import CDR_SCHEMA
+    from callstats.sinks.rejects import RAW_LINE, read_rejects
+    from tests.test_jobs import write_csv
+
+    lines = ["U1,U2,60,T1,2023-10-01T01:00:00,VOICE,1.5", "U2,U2,60,T1,2023-10-01T01:00:00,VOICE,1 EUR",
+             ",U2,60,T1,2023-10-01T01:00:00,VOICE,2.5", "U3,U2,xx,T1,garbage,VOICE,"]
+    csv = write_csv(str(tmp_path / "cdr.csv"), lines)
+    parquet = str(tmp_path / "cdr.parquet")
+    from callstats.sources.cdr import read_cdr
+
+    read_cdr(spark, csv).write.parquet(parquet)
+    schema = type(CDR_SCHEMA)([*CDR_SCHEMA.fields]).add(RAW_LINE, "string")
+    wanted = {"top_callers": {"U2", "U3"}, "tower_heatmap": {"U3"}, "anomalous_calls": {None, "U3"}, "revenue_recon": {"U2", "U3"}}
+    for path in (csv, parquet):
+        for name, callers in wanted.items():
+            m = run(spark, name, path, tmp_out, "r", keep_rejects=True)
+            kept = read_rejects(spark, f"{tmp_out}/{m['job_name']}/r", schema).collect()
+            assert {r["caller_id"] for r in kept} == callers and len(kept) == m["rejected_record_count"], (path, name)
+            if path == csv:
+                assert {r["caller_id"]: r[RAW_LINE] for r in kept}["U3"] == lines[3]
+    # None rejected, or not asked for: nothing is kept, and the result is the same.
+    good = write_csv(str(tmp_path / "good.csv"), lines[:1])
+    m = run(spark, "revenue_recon", good, tmp_out, "g", keep_rejects=True)
+    assert read_rejects(spark, f"{tmp_out}/{m['job_name']}/g", schema).count() == 0
+    m = run(spark, "revenue_recon", csv, tmp_out, "n")
+    assert read_rejects(spark, f"{tmp_out}/{m['job_name']}/n", schema).count() == 0
+    assert all(r["ok"] for r in check_manifests(spark, tmp_out).collect())
