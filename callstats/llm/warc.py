@@ -28,7 +28,12 @@ PIECES_PER_FILE = 32
 # Fixed values of the WARC 1.1 and gzip formats.
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+NEXT_VERSION = b"\nWARC/1."
+#: Longest header that is read.
+MAX_HEADER = 8 << 20
 MEMBER = b"\x1f\x8b\x08"
+#: Bytes unpacked at once.
+CHUNK = 1 << 16
 #: An empty gzip member. It separates the pieces in a file of gzip members, so
 #: that the file is nothing but gzip members.
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
@@ -124,7 +129,9 @@ def _parse(rec: bytes, start: int) -> tuple[int, dict]:
     ValueError with the failed check."""
     if not VERSION_LINE.match(rec, start):
         raise ValueError("no version line")
-    head_end = rec.find(b"\r\n\r\n", start)
+    # A header ends before the next version line: damaged ones are left quickly.
+    following = rec.find(NEXT_VERSION, start + 1, start + MAX_HEADER)
+    head_end = rec.find(b"\r\n\r\n", start, following if following >= 0 else start + MAX_HEADER)
     if head_end < 0:
         raise ValueError("header without end")
     head = {}
@@ -165,64 +172,97 @@ def _parse(rec: bytes, start: int) -> tuple[int, dict]:
     }
 
 
-def _member(view: memoryview, start: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``start`` and the offset after it."""
+def _member(view: memoryview, start: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``start`` holds, the offset after it, and what is
+    wrong with it ("" if nothing): of a broken one all that can be unpacked."""
     unzip, parts, pos = zlib.decompressobj(31), [], start
     while not unzip.eof:
         if pos >= len(view):
-            raise ValueError("member is cut off")
-        parts.append(unzip.decompress(view[pos : pos + 65536]))
-        pos = min(pos + 65536, len(view))
-    return b"".join(parts), pos - len(unzip.unused_data)
-
-
-def salvage(data: bytes) -> Iterator[dict]:
+            return b"".join(parts), pos, "member is cut off"
+        upto = min(pos + CHUNK, len(view))
+        try:
+            parts.append(unzip.decompress(view[pos:upto]))
+        except zlib.error as e:
+            more, pos = _before_error(view, start, pos, upto)
+            return b"".join(parts) + more, pos, str(e)
+        pos = upto
+    return b"".join(parts), pos - len(unzip.unused_data), ""
+
+
+def _before_error(view: memoryview, start: int, pos: int, upto: int) -> tuple[bytes, int]:
+    """What the bytes from ``pos`` on yield before one is found wrong, and the
+    offset after that one."""
+    unzip = zlib.decompressobj(31)
+    for at in range(start, pos, CHUNK):
+        unzip.decompress(view[at : min(at + CHUNK, pos)])
+    got = []
+    try:
+        for at in range(pos, upto):
+            got.append(unzip.decompress(view[at : at + 1]))
+    except zlib.error:
+        upto = at + 1
+    return b"".join(got), upto
+
+
+def salvage(data: bytes, members: bool = True) -> Iterator[dict]:
     """Records and gaps of one archive, in order, each with ``at`` and
     ``length`` in its bytes and ``found`` ("record" or "gap").
 
-    At every position the reader expects a gzip member of whole records, a
-    plain record, or line ends between records. Anything else, and any record
-    that fails a check (version line, header, length, end marker, digests, gzip
-    checksum), opens a gap, which ends at the next place from which a member or
-    record reads well, or at the end of the archive. An empty archive has
-    neither.
+    At every position the reader expects a gzip member of records, a plain
+    record, or line ends between records. Anything else, and any record that
+    fails a check (version line, header, length, end marker, digests), opens a
+    gap, which ends at the next place from which a member or record reads well,
+    or at the end of the archive. Inside a member it is the same: a damaged
+    record is a gap, told with the member's place and its unpacked bytes, and
+    the records after it are read. Of a member that is cut off or fails gzip's
+    checks, the whole records it yields are kept, and its bytes become a gap as
+    well. An empty archive has neither records nor gaps.
     """
     view, size = memoryview(data), len(data)
     pos, gap, why = 0, -1, ""
     next_member = next_line = -1
+    kept_to = 0  # plain version lines before this are in a member already read
     while pos < size:
+        found, broken = [], ""
         try:
-            if data.startswith(MEMBER, pos):
-                inner, end = _member(view, pos)
-                found, at = [], 0
-                while at < len(inner):
-                    at, fields = _parse(inner, at)
-                    found.append(fields)
+            if members and data.startswith(MEMBER, pos):
+                inner, end, broken = _member(view, pos)
+                for r in salvage(inner, members=False):
+                    if r["found"] == "gap":
+                        if broken and r["at"] + r["length"] == len(inner):
+                            continue  # part of the member's own gap
+                        r["reason"] += f" (unpacked bytes {r['at']} to {r['at'] + r['length']})"
+                    found.append(r | {"at": pos, "length": end - pos})
+                if broken and not found:
+                    raise ValueError(broken)
             elif VERSION_LINE.match(data, pos):
                 end, fields = _parse(data, pos)
-                found = [fields]
+                found = [{"found": "record", "at": pos, "length": end - pos, **fields}]
             elif data[pos] in b"\r\n" and gap < 0:
                 pos += 1
                 continue
             else:
                 raise ValueError("neither member nor version line")
-        except (ValueError, zlib.error) as e:
+        except ValueError as e:
             if gap < 0:
                 gap, why = pos, str(e)
-            if next_member <= pos:
-                next_member = data.find(MEMBER, pos + 1)
-                next_member = size if next_member < 0 else next_member
-            if next_line <= pos:
-                line = VERSION_LINE.search(data, pos + 1)
-                next_line = line.start() if line else size
-            pos = min(next_member, next_line)
-            continue
-        if gap >= 0:
-            yield {"found": "gap", "at": gap, "length": pos - gap, "reason": why}
-            gap = -1
-        for fields in found:
-            yield {"found": "record", "at": pos, "length": end - pos, **fields}
-        pos = end
+        else:
+            if gap >= 0:
+                yield {"found": "gap", "at": gap, "length": pos - gap, "reason": why}
+                gap = -1
+            yield from found
+            if not broken:
+                pos = end
+                continue
+            gap, why, kept_to = pos, broken, end
+        # To the next place where a member or a record may begin.
+        if next_member <= pos:
+            next_member = data.find(MEMBER, pos + 1) if members else -1
+            next_member = size if next_member < 0 else next_member
+        if next_line <= pos or next_line < kept_to:
+            line = VERSION_LINE.search(data, max(pos + 1, kept_to))
+            next_line = line.start() if line else size
+        pos = min(next_member, next_line)
     if gap >= 0:
         yield {"found": "gap", "at": gap, "length": size - gap, "reason": why}
 
@@ -230,7 +270,9 @@ def salvage(data: bytes) -> Iterator[dict]:
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Records and gaps of all archives under ``path``: ``found`` is "record"
     or "gap" (a quarantined byte range with its ``reason``). One archive is
-    read in one task; ``payloads=False`` leaves the payload column empty."""
+    read in one task; ``payloads=False`` leaves the payload column empty. An
+    empty archive gives no rows; records and headers of any length up to
+    MAX_HEADER are read, repeated records as often as they occur."""
     schema = spark.createDataFrame([], RECORD_SCHEMA).schema
     names = schema.names
 
