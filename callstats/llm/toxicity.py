@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,12 +25,12 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 
 from callstats.llm.common import class_sample
 
-#: Bounds of the training sample: documents of each class, and characters of a
-#: text (longer ones are left out of training; every text is scored whole).
+#: Bounds of the training sample, by class: documents, and characters of all of
+#: them together (texts are taken whole, of any length, while there is room).
 SAMPLE_PER_CLASS = 2000
-MAX_TRAIN_CHARS = 10_000
-#: The chain ends at a line end, and after this many tokens.
-MAX_CHAIN = 128
+TRAIN_CHARS = 8_000_000
+#: Steps that fewer chains than this go through are taken chain by chain.
+FEW = 12
 BUCKETS = 1 << 18
 MASK = BUCKETS - 1
 TOKEN = re.compile(r"\w+")
@@ -89,40 +90,63 @@ def forward_backward(u: np.ndarray, length: np.ndarray, trans: np.ndarray) -> tu
     e = np.exp(np.clip(u, -40, 40))[token]
     (t00, t01), (t10, t11) = np.exp(trans)
     fwd, bwd = np.empty(n), np.ones(n)
-    for k in range(longest):
+    pairs = np.zeros((2, 2))
+    # All chains in step while they are many; a few long ones go on singly.
+    together = int(np.searchsorted(-active, -FEW, side="right")) if longest else 0
+    for k in range(together):
         a, b = offset[k], offset[k + 1]
         if k == 0:
             fwd[a:b] = e[a:b]
         else:
             r = fwd[offset[k - 1] : offset[k - 1] + b - a]
             fwd[a:b] = e[a:b] * (t01 + r * t11) / (t00 + r * t10)
-    pairs = np.zeros((2, 2))
-    for k in range(longest - 2, -1, -1):
+    for chain in range(int(active[together]) if together < longest else 0):
+        at = offset[together : length[chain]] + chain
+        before = float(fwd[offset[together - 1] + chain]) if together else None
+        odds, of = e[at].tolist(), []
+        for x in odds:
+            before = x if before is None else x * (t01 + before * t11) / (t00 + before * t10)
+            of.append(before)
+        fwd[at] = of
+        after, back = 1.0, [1.0]
+        for x in reversed(odds[1:]):
+            right = x * after
+            after = (t10 + t11 * right) / (t00 + t01 * right)
+            back.append(after)
+        bwd[at] = back[::-1]
+        pairs += _pair_counts(fwd[at[:-1]], e[at[1:]] * bwd[at[1:]], t00, t01, t10, t11)
+    for k in range(min(together, longest - 1) - 1, -1, -1):
         a, m = offset[k], active[k + 1]
-        right = e[offset[k + 1] : offset[k + 2]] * bwd[offset[k + 1] : offset[k + 2]]
+        right = e[offset[k + 1] : offset[k + 1] + m] * bwd[offset[k + 1] : offset[k + 1] + m]
         bwd[a : a + m] = (t10 + t11 * right) / (t00 + t01 * right)
-        r = fwd[a : a + m]
-        all_four = t00 + t01 * right + r * t10 + r * t11 * right
-        pairs += [
-            [(t00 / all_four).sum(), (t01 * right / all_four).sum()],
-            [(r * t10 / all_four).sum(), (r * t11 * right / all_four).sum()],
-        ]
+        pairs += _pair_counts(fwd[a : a + m], right, t00, t01, t10, t11)
     both = fwd * bwd
     marginal = np.empty(n)
     marginal[token] = both / (1 + both)
     return marginal, pairs
 
 
+def _pair_counts(r, right, t00, t01, t10, t11) -> np.ndarray:
+    """Expected transitions between tokens with forward odds ``r`` and the next
+    ones with odds ``right``."""
+    all_four = t00 + t01 * right + r * t10 + r * t11 * right
+    return np.array(
+        [
+            [(t00 / all_four).sum(), (t01 * right / all_four).sum()],
+            [(r * t10 / all_four).sum(), (r * t11 * right / all_four).sum()],
+        ]
+    )
+
+
 def tokenize(text: str) -> tuple[list[str], list[int]]:
-    """Tokens, and the lengths of the chains they make up: one chain a line, cut
-    after every MAX_CHAIN tokens."""
+    """Tokens, and the lengths of the chains they make up: one chain a line, of
+    any length."""
     tokens, lengths = [], []
     for line in text.split("\n"):
         found = TOKEN.findall(line)
         if found:
             tokens += found
-            whole, rest = divmod(len(found), MAX_CHAIN)
-            lengths += [MAX_CHAIN] * whole + [rest] * (rest > 0)
+            lengths.append(len(found))
     return tokens, lengths
 
 
@@ -143,7 +167,7 @@ def aggregate(of_tokens: np.ndarray) -> tuple[float, float]:
     return np.log(some / (1 - some)), np.log(share) + 7
 
 
-def toxic_features(docs: list[list[str]], toxic: np.ndarray) -> set[int]:
+def toxic_features(docs: Iterable[Iterable[str]], toxic: np.ndarray) -> set[int]:
     """Features in at least 3 toxic documents that occur there far more often
     than chance (z above 4) and of whose documents at least 9 in 10 are toxic,
     weighted as if both classes were equally frequent."""
@@ -179,18 +203,19 @@ def train(texts: list[str], toxic: list[int], folds: list[int], epochs: int = 30
     crf = Crf()
     texts, toxic, folds = [t or "" for t in texts], np.array(toxic, dtype=int), np.array(folds, dtype=int)
     fit = np.flatnonzero(folds == 0)
-    docs = [tokenize(texts[k]) for k in fit]
-    signs = toxic_features([tokens for tokens, _ in docs], toxic[fit]) if len(fit) else set()
-    if not signs:
-        return crf
     forms: dict[str, int] = {}
-    ids, labels, length = [], [], []
-    for tokens, lengths in docs:
-        ids += [forms.setdefault(t, len(forms)) for t in tokens]
+    ids, length = [np.zeros(0, np.int32)], []
+    for k in fit:  # numbers of the tokens' forms: the tokens themselves are not held
+        tokens, lengths = tokenize(texts[k])
+        ids.append(np.fromiter((forms.setdefault(t, len(forms)) for t in tokens), np.int32, len(tokens)))
         length += lengths
-    sign_of = np.array([any(f in signs for f in features(t)) for t in forms])
-    y = np.repeat(toxic[fit] > 0, [len(tokens) for tokens, _ in docs])
-    ids, length = np.array(ids), np.array(length)
+    names = list(forms)
+    signs = toxic_features(([names[i] for i in np.unique(x)] for x in ids[1:]), toxic[fit]) if len(fit) else set()
+    if not signs:
+        return crf
+    sign_of = np.array([any(f in signs for f in features(t)) for t in names])
+    y = np.repeat(toxic[fit] > 0, [len(x) for x in ids[1:]])
+    ids, length = np.concatenate(ids), np.array(length)
     y = (y & sign_of[ids]).astype(float)
     first = np.cumsum(length) - length
     form_of, buckets = [], []
@@ -286,18 +311,31 @@ def fold_of(doc_id: str = "doc_id"):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> list:
-    """Text, label and fold of at most ``per_class`` labelled documents of each
-    class, none held out. The ids are chosen first, from the labels alone, so
-    the documents' texts are filtered by a broadcast of bounded size and not
-    shuffled. A doc_id labelled twice counts as toxic if any row says so; of
-    several documents with a chosen id one is taken."""
+    """Text, label and fold of at most ``per_class`` labelled documents and
+    TRAIN_CHARS characters of each class, none held out. The ids are chosen
+    first, by a hash and from the labels alone, so the documents' texts are
+    filtered by a broadcast of bounded size and not shuffled; then, in the order
+    of the hash, those whose whole text still has room. A doc_id labelled twice
+    counts as toxic if any row says so; of several documents with a chosen id one
+    is taken."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("fold", fold_of()).where("fold <> 1")
     chosen = class_sample(known, "toxic", "doc_id", per_class).withColumnRenamed("doc_id", "_id")
     # At most 2 * per_class rows.
-    taken = docs.select("doc_id", "text").where(F.length("text").between(1, MAX_TRAIN_CHARS))
-    rows = taken.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id")
-    return rows.agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"), F.first("fold").alias("fold")).collect()
+    mine = F.col("doc_id") == F.col("_id")
+    taken = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(chosen), mine)
+    sizes = taken.groupBy("doc_id", "toxic").agg(F.min(F.length("text")).alias("n"))
+    rows = sizes.orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id").collect()
+    room, fits = {0: TRAIN_CHARS, 1: TRAIN_CHARS}, []
+    for r in rows:
+        if r["n"] <= room[r["toxic"]]:
+            room[r["toxic"]] -= r["n"]
+            fits.append(r["doc_id"])
+    if not fits:
+        return []
+    shortest = F.min_by("text", F.struct(F.length("text"), "text")).alias("text")
+    grouped = taken.where(F.col("doc_id").isin(fits)).groupBy("doc_id")
+    return grouped.agg(shortest, F.first("toxic").alias("toxic"), F.first("fold").alias("fold")).collect()
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Crf:
@@ -311,11 +349,12 @@ SPANS = ArrayType(
 
 
 def _tagged(docs: DataFrame, keep: list[str], crf: Crf) -> DataFrame:
-    """The ``keep`` columns as one struct ``_row``, then score, predicted and spans."""
+    """The ``keep`` columns as one struct ``_row``, then score, predicted and spans.
+    A text that is kept goes to Python once, inside the struct."""
+    inside = keep.index("text") if "text" in keep else None
     weights = docs.sparkSession.sparkContext.broadcast((crf.emit, crf.bias, crf.trans, crf.calibration))
-    kept = docs.select(
-        F.struct(*[F.col(c) for c in keep]).alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("_text")
-    )
+    text = [] if inside is not None else [F.coalesce(F.col("text"), F.lit("")).alias("_text")]
+    kept = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_row"), *text)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
     schema = StructType(
         [
@@ -329,7 +368,8 @@ def _tagged(docs: DataFrame, keep: list[str], crf: Crf) -> DataFrame:
     def run(batches):
         model = Crf(*weights.value)
         for b in batches:
-            scored = score_texts(model, b.column(1).to_pylist())
+            texts = b.column(1) if inside is None else b.column(0).field(inside)
+            scored = score_texts(model, [t or "" for t in texts.to_pylist()])
             score = np.array([s for s, _ in scored])
             spans = [[{"start": x, "end": y, "p": p} for x, y, p in found] for _, found in scored]
             arrays = [b.column(0), pa.array(score), pa.array((score >= PREDICT_AT).astype(np.int32)), pa.array(spans, span)]
