@@ -13,10 +13,9 @@ import hashlib
 import random
 import re
 import string
-from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +47,10 @@ WIDTH = LEFT + BODY + RIGHT
 CODES = 97
 EMBED, KERNEL, FILTERS = 8, 5, 24
 
-#: Bounds of the training sample: documents, and characters of a document.
+#: Bounds of the training sample: documents, and characters of all of them
+#: together (texts are taken whole, of any length, while there is room).
 SAMPLE_DOCS = 1500
-MAX_TRAIN_CHARS = 20_000
+SAMPLE_CHARS = 8_000_000
 RECALL = 0.98
 
 
@@ -223,9 +223,11 @@ def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def labelled_findings(texts: list[str], seed: int = 3, per_kind: int = 250) -> list[tuple[str, int, int, str, int]]:
     """Labelled findings in the given texts.
 
-    Secrets are the base findings and generated credentials of several layouts
-    set into passages of the texts; the rest are the texts' other candidates
-    and generated look-alikes: identifiers, versions, addresses, long words.
+    Secrets are the base findings, the candidates around them, and generated
+    credentials of several layouts set into passages of the texts. The rest are
+    generated look-alikes (identifiers, versions, addresses, long words) and those
+    of the texts' other candidates whose letters spell words of several texts.
+    Any other candidate may be a secret and has no label.
     """
     rng = random.Random(seed)
     digits, letters, both = string.digits, string.ascii_letters, string.ascii_letters + string.digits
@@ -245,6 +247,8 @@ def labelled_findings(texts: list[str], seed: int = 3, per_kind: int = 250) -> l
             lambda: rng.choice(["ghp_", "xoxb-", "sk_live_", "glpat-"]) + some(both, 20, 36),
             lambda: "eyJ" + some(both + "_-", 40, 80),
             lambda: some(digits + "ABCDEF", 32, 40),
+            # A base finding inside a longer credential.
+            lambda: rng.choice(["sk_live_", "key-", "", "v1="]) + some(hexes, 16, 28) + some(both, 6, 16),
         ],
         "keyed": [
             lambda: some(both + "!#%&*", 10, 24),
@@ -288,23 +292,36 @@ def labelled_findings(texts: list[str], seed: int = 3, per_kind: int = 250) -> l
                     text = before + lead + token + rng.choice([" ", '" ', ". "]) + after
                     start = len(before) + len(lead)
                     found.append((text, start, start + len(token), kind, label))
+    spelled = Counter(w for t in texts for w in {w.lower() for w in re.findall(r"[A-Za-z]+", t)})
     for t in texts:
         base = base_spans(t)
         found += [(t, s, e, "run", 1) for s, _, e in base[:4]]
-        free = [c for c in candidates(t) if not any(s < c[1] and c[0] < e for s, _, e in base)]
-        found += [(t, s, e, kind, 0) for s, e, kind in free[:4]]
+        for s, e, kind in candidates(t)[:8]:
+            if any(a < e and s < b for a, _, b in base):
+                found.append((t, s, e, kind, 1))
+            elif all(spelled[w.lower()] > 2 for w in re.findall(r"[A-Za-z]+", t[s:e])):
+                found.append((t, s, e, kind, 0))
     rng.shuffle(found)
     return found
 
 
-def sample_texts(docs: DataFrame, bound: int = SAMPLE_DOCS) -> list[str]:
-    """Texts of at most ``bound`` documents, chosen by a hash of doc_id; texts
-    over MAX_TRAIN_CHARS characters are left to the scan."""
+def sample_texts(docs: DataFrame, bound: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[str]:
+    """Texts of at most ``bound`` documents, chosen by a hash of doc_id; in its
+    order a text is taken if it still has room in ``chars`` characters."""
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(bound).select(F.col("doc_id").alias("_id"))
-    taken = docs.select("doc_id", "text").where(F.length("text").between(1, MAX_TRAIN_CHARS))
-    rows = taken.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text"))
-    return [r["text"] for r in sorted(rows.collect(), key=lambda r: r["doc_id"])]
+    taken = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    sizes = taken.groupBy("doc_id").agg(F.min(F.length("text")).alias("n"))
+    fits = []
+    for r in sizes.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").collect():
+        if r["n"] <= chars:
+            chars -= r["n"]
+            fits.append(r["doc_id"])
+    if not fits:
+        return []
+    shortest = F.min_by("text", F.struct(F.length("text"), "text")).alias("text")
+    rows = taken.where(F.col("doc_id").isin(fits)).groupBy("doc_id").agg(shortest).collect()
+    return [r["text"] for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
 def all_spans(net: Network, texts: list[str]) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
@@ -312,22 +329,17 @@ def all_spans(net: Network, texts: list[str]) -> list[tuple[list[tuple[int, int,
     base = [base_spans(t) for t in texts]
     found, owner, kinds = [], [], []
     for k, t in enumerate(texts):
-        starts = [a for a, _, _ in base[k]]
-        reach = list(accumulate((b for _, _, b in base[k]), max))
         for s, e, kind in candidates(t):
-            # Of the base findings that start before the candidate's end the
-            # farthest end decides whether any overlaps it.
-            before = bisect_left(starts, e)
-            if not before or reach[before - 1] <= s:
-                found.append((t, s, e))
-                owner.append(k)
-                kinds.append(kind)
+            found.append((t, s, e))
+            owner.append(k)
+            kinds.append(kind)
     limit = dict(net.thresholds)
     extra: list[set] = [set() for _ in texts]
     for k, f, kind, p in zip(owner, found, kinds, net.scores(found)):
         if p >= limit[kind]:
             extra[k].add((f[1], 3, f[2]))
-    return [(b, sorted(x)) for b, x in zip(base, extra)]
+    # What is a base finding already is not told twice.
+    return [(b, sorted(x - {(s, 3, e) for s, _, e in b})) for b, x in zip(base, extra)]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -339,9 +351,12 @@ def scan(docs: DataFrame, net: Network, keep: list[str]) -> DataFrame:
     base_sha256 and spans (kind:start:end in code points, by start and kind,
     base findings and accepted candidates; kind cnn for the latter).
 
-    A candidate that overlaps a base finding is not reported again. NULL texts
-    count as empty; a text without findings has counts 0, the hash of the empty
-    string and empty spans. Whole texts are scanned.
+    Every candidate is scored, also those in and around base findings, and reported
+    if accepted, but where it is just a base finding. NULL texts count as empty; a
+    text without findings has counts 0, the hash of the empty string and empty
+    spans. Whole texts of any length are scanned; equal rows get equal results;
+    an empty table gives no rows. Only ``keep`` (any names but those of the
+    results) and ``text`` are read.
     """
     parts = docs.sparkSession.sparkContext.broadcast(
         (net.embed, net.conv, net.bias, net.out, net.platt, net.thresholds)
