@@ -267,19 +267,16 @@ def _chi2_cdf(x: float, degrees: int) -> float:
 CONSISTENCY = CORE_SHARE / _chi2_cdf(6.6257, 7)
 
 
-def judge_quality(
-    docs: DataFrame, group: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF, lend: bool = False
-) -> DataFrame:
+def judge_quality(docs: DataFrame, group: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF) -> DataFrame:
     """doc_id, the counts, base_failed, distance and kept of every document.
 
     base_failed documents are not kept and take no part in the estimates. The
     others are kept unless their squared distance to their group's shape
-    exceeds ``cutoff``. With ``lend``, documents of groups of fewer than
-    MIN_GROUP such documents are judged by the shape of all documents with their
-    value of ``group[0]``, or of all documents if those are too few as well.
-    Else small groups are judged as one for each value of ``group[0]``. If that
-    is still too few, all are kept (distance NULL). NULL groups are groups like
-    any other; a NULL or empty text has no words and fails the base.
+    exceeds ``cutoff``. Documents of groups of fewer than MIN_GROUP such documents
+    are judged by the shape of all documents with their value of ``group[0]``, or
+    of all documents if those are too few as well. If fewer than MIN_GROUP of the
+    whole table pass the base, these are kept (distance NULL). NULL groups are
+    groups like any other; a NULL or empty text has no words and fails the base.
     """
     group = list(group)
     keyed = docs.select("doc_id", "text", *[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)])
@@ -287,13 +284,7 @@ def judge_quality(
     rows = counted(keyed, ["doc_id", *keys]).withColumn("base_failed", base_failed())
     rows = materialize(rows.withColumns(statistics()))
     sizes = rows.where(~F.col("base_failed")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    if lend:
-        rows, keys, evidence = _levels(rows, sizes, keys)
-    else:
-        rows = _with_shape(rows, sizes, keys, "left").withColumn("_pooled", F.coalesce(F.col("_size") < MIN_GROUP, F.lit(True)))
-        rows = rows.withColumns({k: F.when(~F.col("_pooled"), F.col(k)) for k in keys[1:]}).drop("_size")
-        keys = [*keys, "_pooled"]
-        evidence = rows.where(~F.col("base_failed"))
+    rows, keys, evidence = _levels(rows, sizes, keys)
     shapes = mcd_shapes(evidence, keys)
     judged = _with_shape(rows, shapes, keys, "left")
     enough = (F.col("n") >= CORE_SHARE * MIN_GROUP) & ~F.col("base_failed")

@@ -5,6 +5,7 @@ import binascii
 import gzip
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -169,6 +170,72 @@ def test_salvage_recovers_what_follows(members, harm):
     assert spans[0][0] == 0 and all(a[1] >= b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] == len(data)
 
 
+def archive_of(n=5, size=40):
+    recs = []
+    for k in range(n):
+        body = random.Random(k).randbytes(size * 10).hex().encode()
+        recs.append(warc.record_bytes(k, "http://x/", body, warc.base32_sha1(body), None, False))
+    return recs
+
+
+def ids_and_gaps(data):
+    found = list(warc.salvage(data))
+    return [r["page_id"] for r in found if r["found"] == "record"], [r for r in found if r["found"] == "gap"]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_inside_a_member_of_several_records(level):
+    recs = archive_of()
+    whole = b"".join(recs)
+    at = len(recs[0]) + len(recs[1])
+    # One damaged record in a sound member: the others are read, one gap.
+    harmed = whole[: at + 400] + b"#" + whole[at + 401 :]
+    ids, gaps = ids_and_gaps(gzip.compress(harmed, level, mtime=0))
+    assert ids == [0, 1, 3, 4] and len(gaps) == 1
+    assert f"unpacked bytes {at} to {at + len(recs[2])}" in gaps[0]["reason"]
+    # A member that is cut off: its whole records, and a gap for it.
+    packed = gzip.compress(whole, level, mtime=0)
+    ids, gaps = ids_and_gaps(packed[: len(packed) * 9 // 10])
+    assert ids == [0, 1, 2, 3] and [g["reason"] for g in gaps] == ["member is cut off"]
+    # A wrong byte in the compressed data: what came before is kept, members after are read.
+    k = len(packed) // 2
+    broken = packed[:k] + bytes([packed[k] ^ 255]) + packed[k + 1 :]
+    later = gzip.compress(archive_of(7)[6], mtime=0)
+    ids, gaps = ids_and_gaps(broken + later)
+    assert ids[:2] == [0, 1] and ids[-1] == 6 and len(ids) == len(set(ids)) and gaps
+    assert all(g["at"] + g["length"] <= len(broken) for g in gaps)
+
+
+def test_salvage_of_a_large_member_keeps_what_unpacked_before_the_error():
+    recs = archive_of(40, 1000)
+    packed = gzip.compress(b"".join(recs), mtime=0)
+    for share in (0.2, 0.55, 0.97):
+        k = int(len(packed) * share)
+        ids, gaps = ids_and_gaps(packed[:k] + bytes([packed[k] ^ 255]) + packed[k + 1 :])
+        assert ids[: int(40 * share) - 1] == list(range(int(40 * share) - 1)) and len(gaps) >= 1
+
+
+def seconds(call, *args):
+    times = []
+    for _ in range(3):
+        start = time.process_time()
+        call(*args)
+        times.append(time.process_time() - start)
+    return min(times)
+
+
+def test_damaged_archives_take_linear_time():
+    def bare(n):
+        return list(warc.salvage(b"WARC/1.1\r\n" * n))
+
+    assert [r["found"] for r in bare(1000)] == ["gap"]
+    assert seconds(bare, 80_000) < 6 * seconds(bare, 20_000) and seconds(bare, 100_000) < 5
+    # A long header and a long payload are no damage.
+    rec = warc.record_bytes(1, "http://x/" + "a" * 300_000, b"\nWARC/1.1\r\n" * 30_000, warc.base32_sha1(b"\nWARC/1.1\r\n" * 30_000), None, False)
+    ids, gaps = ids_and_gaps(rec * 3)
+    assert ids == [1, 1, 1] and gaps == []
+
+
 def test_salvage_of_nothing():
     assert list(warc.salvage(b"")) == []
     assert [r["found"] for r in warc.salvage(b"no archive")] == ["gap"]
@@ -187,6 +254,16 @@ def brute_rule(rules, host, path):
     return best and best[1:]
 
 
+def test_long_urls_take_linear_time():
+    trie = urlfilter.build_trie([("block", "a", "/x"), ("allow", "a", "/x/yy"), ("allow", "a", "/x/yyyyyyyy")])
+
+    def judge(n):
+        return urlfilter.lookup(trie, "a", "/x/" + "y" * n), urlfilter.lookup(trie, "a", "/" + "x/" * n)
+
+    assert judge(1000)[0][1:] == ("a/x/yyyyyyyy", "allow") and judge(1000)[1][1:] == ("a/x", "block")
+    assert seconds(judge, 1_000_000) < 1 and seconds(judge, 800_000) < 8 * seconds(judge, 200_000) + 0.05
+
+
 def test_trie_equals_brute_force():
     rng = random.Random(1)
     hosts = ["a", "b.a", "c.b.a", "x", ".a", "a.", "", "aa", "b..a"]
