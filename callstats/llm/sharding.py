@@ -62,21 +62,37 @@ def feistel(numbers: np.ndarray, n: int, seed: int, inverse: bool = False) -> np
     return out.astype(np.int64)
 
 
-def permuted(number: Column, n: int, seed: int) -> Column:
+def permute(numbers: np.ndarray, n: int, seed: int, window: int | None = None) -> np.ndarray:
+    """``feistel`` over all of 0..n-1, or over each run of ``window`` numbers by
+    itself (the last one may be shorter): a number then stays in its window."""
+    if window is None or window >= n:
+        return feistel(numbers, n, seed)
+    base = numbers // window * window
+    out, last = np.empty(len(numbers), np.int64), base + window > n
+    out[~last] = feistel((numbers - base)[~last], window, seed)
+    out[last] = feistel((numbers - base)[last], n % window, seed)
+    return base + out
+
+
+def permuted(number: Column, n: int, seed: int, window: int | None = None) -> Column:
     """The Feistel permutation as a column expression (vectorised in numpy)."""
 
     @F.pandas_udf("long")
-    def permute(x: pd.Series) -> pd.Series:
-        return pd.Series(feistel(x.to_numpy(), n, seed))
+    def moved(x: pd.Series) -> pd.Series:
+        return pd.Series(permute(x.to_numpy(), n, seed, window))
 
-    return permute(number)
+    return moved(number)
 
 
-def place(numbered: DataFrame, n: int, shards: int, seed: int, number: str = "row_number") -> DataFrame:
-    """``shard`` and ``slot`` of rows that carry their global number."""
+def place(
+    numbered: DataFrame, n: int, shards: int, seed: int, number: str = "row_number", window: int | None = None
+) -> DataFrame:
+    """``shard`` and ``slot`` of rows that carry their global number. With
+    ``window`` rows keep their order coarsely: a shard's slots pass through the
+    windows one after the other, and each window is shuffled over all shards."""
     p = F.col("_moved")
     return (
-        numbered.withColumn("_moved", permuted(F.col(number), n, seed))
+        numbered.withColumn("_moved", permuted(F.col(number), n, seed, window))
         .withColumn("shard", (p % shards).cast("int"))
         .withColumn("slot", F.floor(p / F.lit(shards)).cast("long"))
         .drop("_moved")

@@ -15,6 +15,8 @@ from callstats.llm.common import file_place
 #: Target weights of the mix. A source that is not named shares the stream "*".
 WEIGHTS = {"src0": 10.0} | {f"src{k}": 6.0 for k in range(1, 6)} | {f"src{k}": 4.0 for k in range(6, 20)} | {"*": 4.0}
 SHARDS = 16
+#: Rows of one period of the mix.
+WINDOW = mixing.PERIOD * mixing.BLOCK_ROWS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +64,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its shard and slot: the Feistel permutation of its
-    row number in the mix, which is kept as ``row_number``."""
+    row number in the mix, which is kept as ``row_number``.
+
+    Rows are permuted within windows of one whole period of the mix, so a shard
+    read slot by slot has the target weights in every window's stretch.
+    """
     numbered, n = sharding.number_in_files(docs.select(F.struct(*docs.columns).alias("_row"), "_metadata"))
-    placed = sharding.place(numbered, n, SHARDS, sharding.SEED)
+    placed = sharding.place(numbered, n, SHARDS, sharding.SEED, window=WINDOW)
     names = [c for c in docs.columns if c.lower() not in ("row_number", "shard", "slot")]
     return placed.select(*[F.col("_row")[c].alias(c) for c in names], "row_number", "shard", "slot")
 

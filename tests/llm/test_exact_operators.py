@@ -43,6 +43,14 @@ def test_feistel_is_a_permutation_and_inverts(n):
     assert (sharding.feistel(y, n, 5, inverse=True) == x).all()
 
 
+@pytest.mark.parametrize("n, window", [(1, 4), (10, 4), (12, 4), (1000, 64), (1000, 2000)])
+def test_permutation_in_windows(n, window):
+    x = np.random.default_rng(0).permutation(n)
+    y = sharding.permute(x, n, 5, window)
+    assert sorted(y) == list(range(n))
+    assert (y // window == x // window).all() or window >= n
+
+
 def test_shards_are_even_gapless_and_reproducible(spark):
     docs = odd_docs(spark)
     got = sharding.shard_documents(docs, shards=4).collect()

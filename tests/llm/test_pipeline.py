@@ -49,6 +49,27 @@ def test_stages_one_by_one(spark):
     assert first.max() <= 32  # blocks of several sources take turns
 
 
+def test_shards_keep_the_mix(spark, monkeypatch):
+    """A hot source with a third of all rows: every stretch of every shard has
+    the target weights, not the proportions of the corpus."""
+    monkeypatch.setattr(stages, "WINDOW", 1600)
+    rows = [(k, "hot" if k % 3 == 0 else f"src{k % 4}") for k in range(12_000)]
+    docs = stored(spark, spark.createDataFrame(rows, "doc_id long, source string"))
+    mixed = stored(spark, stages.mix_sources(spark, docs, SF))
+    got = stages.shard(spark, mixed, SF).toPandas()
+    assert sorted(got["doc_id"]) == list(range(12_000)) and sorted(got["row_number"]) == list(range(12_000))
+    sizes = got.groupby("shard")["slot"].agg(["count", "max"])
+    assert (sizes["count"] == 750).all() and (sizes["max"] == 749).all()
+    # The first window of a shard are the rows of the first window of the mix.
+    early = got[got["slot"] < 100]
+    assert early["row_number"].max() < 1600
+    share = early["source"].eq("hot").mean()
+    in_mix = got[got["row_number"] < 1600]["source"].eq("hot").mean()
+    assert share == in_mix and abs(share - 1 / 3) > 0.1
+    for _, of in early.groupby("shard"):
+        assert abs(of["source"].eq("hot").mean() - share) < 0.15
+
+
 def test_stages_on_odd_documents(spark, tmp_path):
     sf = str(tmp_path)
     pd.DataFrame({"doc_id": [3], "quality": [1], "toxic": [0]}).to_parquet(f"{sf}/labels.parquet")
