@@ -330,7 +330,13 @@ def joined(spans: Column) -> Column:
 
 def find_personal_data(docs: DataFrame, model: Trees, keep: list[str]) -> DataFrame:
     """``keep`` columns, counts of base findings, base_sha256 and spans
-    (kind:start:end in code points, by kind and start)."""
+    (kind:start:end in code points, by kind and start).
+
+    NULL and empty texts have no findings (counts 0, the hash of the empty string,
+    empty spans). Whole texts of any length are searched; equal rows get equal
+    results; an empty table gives no rows. Only ``keep`` (any names but those of
+    the results) and ``text`` are read.
+    """
     found = with_spans(docs, model, keep)
     return found.select(
         *keep,
@@ -342,7 +348,9 @@ def find_personal_data(docs: DataFrame, model: Trees, keep: list[str]) -> DataFr
 
 def redact(docs: DataFrame, model: Trees, keep: list[str], mark: str = "[{}]") -> DataFrame:
     """``keep`` columns and ``redacted``: the text with every span replaced by
-    its kind in brackets. Of overlapping spans the first stays, then the longer."""
+    its kind in brackets. Of overlapping spans the first stays, then the longer.
+    A text without findings stays as it is, a NULL text NULL; else as
+    ``find_personal_data``."""
     found = with_spans(docs.select(*keep, "text"), model, [*dict.fromkeys([*keep, "text"])])
     ordered = F.array_sort(F.transform("findings", lambda s: F.struct(s["start"], (-s["end"]).alias("last"), s["kind"])))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

@@ -58,7 +58,9 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = 3) -> DataFrame:
-    """``keep`` and ``fp``, the fingerprint as a signed long. NULL texts count as empty."""
+    """``keep`` and ``fp``, the fingerprint as a signed long. NULL texts count as
+    empty; an empty table gives no rows. Only ``keep`` (any names but ``fp``) and
+    ``text`` are read."""
 
     def signed(texts: list[str]) -> list[pa.Array]:
         fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
