@@ -27,9 +27,11 @@ from callstats.operators.materialize import materialize
 
 SEED = 42
 #: Distinct fingerprints that a shard is meant to hold, and that are sampled to
-#: place the boundaries of the top tree (any boundaries give the same pairs).
+#: place the boundaries of the top tree (any boundaries give the same pairs): so
+#: many in all, or so many a shard if that is more.
 SHARD_POINTS = 1 << 14
 SAMPLE_POINTS = 1 << 15
+SAMPLE_PER_SHARD = 8
 LEAF_POINTS = 64
 
 
@@ -197,15 +199,17 @@ def near_links(distinct: DataFrame, radius: int, shard_points: int = SHARD_POINT
     """Links (a, b) between distinct fingerprints ``fp`` that join exactly the
     groups reachable by steps of at most ``radius`` bits.
 
-    The top tree is grown on the driver from at most ``SAMPLE_POINTS``
-    fingerprints and broadcast; it has about one node per ``shard_points``
-    fingerprints.
+    The top tree is grown on the driver from a sample of ``SAMPLE_POINTS``
+    fingerprints, or ``SAMPLE_PER_SHARD`` a shard if that is more (8 bytes each:
+    a 2,000th part of the fingerprints), and broadcast; it has about one node per
+    ``shard_points`` fingerprints, so shards keep their size in any table.
     """
     spark = distinct.sparkSession
     n = distinct.count()
     levels = max(0, int(np.ceil(np.log2(max(n, 1) / shard_points))))
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_POINTS) if levels else distinct.limit(0)
-    points = np.array([r[0] for r in sample.collect()], dtype=np.int64).view(np.uint64)
+    wanted = max(SAMPLE_POINTS, SAMPLE_PER_SHARD << levels) if levels else 0
+    sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(wanted).toArrow()
+    points = sample.column(0).to_numpy().astype(np.int64).view(np.uint64)
     tree = spark.sparkContext.broadcast(grow_top(points, levels))
     names = ["shard", "fp", "home"]
 

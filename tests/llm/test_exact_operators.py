@@ -249,6 +249,34 @@ def test_salvage_of_nothing():
     assert [r["found"] for r in warc.salvage(b"no archive")] == ["gap"]
 
 
+# ---------------------------------------------------------------- SimHash shards
+
+
+def test_shards_keep_their_size_beyond_the_sample(spark, monkeypatch):
+    """More shards than SAMPLE_POINTS: the sample grows, and the links are exact."""
+    monkeypatch.setattr(simhash, "SAMPLE_POINTS", 4)
+    rng = random.Random(9)
+    points = [rng.getrandbits(64) for _ in range(1500)]
+    points += [p ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for p in points[:300]]
+    signed = [p - (1 << 64) if p >> 63 else p for p in set(points)]
+    distinct = spark.createDataFrame([(p,) for p in signed], "fp long")
+    links = simhash.near_links(distinct, 3, shard_points=64).collect()
+    parent = {p: p for p in signed}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for r in links:
+        parent[root(r["a"])] = root(r["b"])
+    x = np.array(signed, dtype=np.int64).view(np.uint64)
+    for k, p in enumerate(signed):
+        for j in np.flatnonzero(np.bitwise_count(x ^ x[k]) <= 3):
+            assert root(p) == root(signed[j])
+    assert len({root(p) for p in signed}) >= 1400
+
+
 # ---------------------------------------------------------------- URL filter
 
 
