@@ -16,13 +16,18 @@ def map_texts(
     df: DataFrame,
     keep: list[str],
     text: str,
-    fn: Callable[[list[str]], list[pa.Array]],
+    fn: Callable[[list[str]], list[pa.Array]] | Callable[[list[bytes]], list[pa.Array]],
     fields: list[StructField],
+    as_bytes: bool = False,
 ) -> DataFrame:
     """One row per input row: columns ``keep`` unchanged, then ``fields`` from
     ``fn``, which gets the batch's texts (NULL as empty) and returns one Arrow
-    array per field. Only ``keep`` and ``text`` are read from ``df``."""
-    slim = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    array per field. Only ``keep`` and ``text`` are read from ``df``.
+
+    ``as_bytes`` gives ``fn`` the bytes of the texts, which need not be valid
+    UTF-8; without it such a text fails the job."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    slim = df.select(*keep, (whole.cast("binary") if as_bytes else whole).alias("_text"))
     schema = StructType([slim.schema[c] for c in keep] + list(fields))
     names, n = schema.names, len(keep)
 

@@ -35,16 +35,18 @@ SAMPLE_PER_SHARD = 8
 LEAF_POINTS = 64
 
 
-def fingerprint(text: str, shingle: int = 3) -> int:
-    """SimHash of the text as an unsigned integer.
+def fingerprint(text: str | bytes, shingle: int = 3) -> int:
+    """SimHash of the text, or of its UTF-8 bytes, as an unsigned integer.
 
     A-Z are lower-cased, words are split at space, tab, line feed, vertical
     tab, form feed and carriage return. Every ``shingle``-word sequence counts,
     repeats included; a shorter text is one shingle, a text without words has
-    fingerprint 0. A bit is set if it is set in over half of the hashes.
+    fingerprint 0. A bit is set if it is set in over half of the hashes. Bytes
+    that are not valid UTF-8 are hashed as they are.
     """
+    raw = text.encode("utf-8") if isinstance(text, str) else text
     # bytes.lower and bytes.split know ASCII only, which is what is asked for.
-    words = text.encode("utf-8").lower().split()
+    words = raw.lower().split()
     if not words:
         return 0
     if len(words) <= shingle:
@@ -62,13 +64,13 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = 3) -> DataFrame:
     """``keep`` and ``fp``, the fingerprint as a signed long. NULL texts count as
     empty; an empty table gives no rows. Only ``keep`` (any names but ``fp``) and
-    ``text`` are read."""
+    ``text`` are read. A text that is not valid UTF-8 counts byte by byte."""
 
-    def signed(texts: list[str]) -> list[pa.Array]:
+    def signed(texts: list[bytes]) -> list[pa.Array]:
         fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
         return [pa.array(fps.view(np.int64))]
 
-    return map_texts(docs, keep, text, signed, [StructField("fp", LongType())])
+    return map_texts(docs, keep, text, signed, [StructField("fp", LongType())], as_bytes=True)
 
 
 def split(points: np.ndarray) -> tuple[np.uint64, int, np.ndarray] | None:
@@ -221,6 +223,8 @@ def near_links(distinct: DataFrame, radius: int, shard_points: int = SHARD_POINT
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     def linked(table: pa.Table) -> pa.Table:
+        # Rows arrive in any order; sorted, a re-run task gives the same links.
+        table = table.sort_by("fp")
         fps = table.column("fp").to_numpy()
         label = link_shard(fps.view(np.uint64), table.column("home").to_numpy(), radius)
         moved = np.flatnonzero(label != np.arange(len(label)))
@@ -236,8 +240,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among a node and its neighbours, then
     the label of that label. Rounds are checkpointed and end when nothing
-    changes; pointer jumping keeps their number logarithmic on chains.
+    changes; pointer jumping keeps their number logarithmic on chains. ``links``
+    are stored first: computed once for each direction, they could name other
+    representatives each time, and a link would hold one way only.
     """
+    links = materialize(links)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
     both = materialize(both)
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))

@@ -8,6 +8,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -399,6 +400,31 @@ def test_a_long_chain_is_one_component(spark):
     assert {r["label"] for r in simhash.components(links).collect()} == {0}
 
 
+def test_links_that_name_other_representatives_when_run_again(spark):
+    """As in shards whose rows arrive in another order: each run of the links
+    joins the same groups of ten, through a point drawn anew."""
+
+    def star(batches):
+        for b in batches:
+            for first in b.column(0).to_pylist():
+                hub = first + random.SystemRandom().randrange(10)
+                rest = [p for p in range(first, first + 10) if p != hub]
+                yield pa.RecordBatch.from_arrays([pa.array(rest), pa.array([hub] * 9)], names=["a", "b"])
+
+    links = spark.range(0, 400, 10).mapInArrow(star, "a long, b long")
+    got = {r["node"]: r["label"] for r in simhash.components(links).collect()}
+    assert got == {p: p // 10 * 10 for p in range(400)}
+
+
+def test_links_do_not_depend_on_the_order_of_rows(spark):
+    points = [int(p) for p in np.array(clustered(600, 3), dtype=np.uint64).view(np.int64)]
+    runs = []
+    for rows in (points, points[::-1]):
+        table = spark.createDataFrame([(p,) for p in rows], "fp long")
+        runs.append(sorted(map(tuple, simhash.near_links(table, 3, shard_points=100).collect())))
+    assert runs[0] == runs[1] and runs[0]
+
+
 def test_near_duplicates_of_odd_documents(spark):
     got = simhash.near_duplicates(odd_docs(spark)).collect()
     assert len(got) == len(ODD_TEXTS) + 3
@@ -407,6 +433,41 @@ def test_near_duplicates_of_odd_documents(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def brute_byte_fingerprint(raw):
+    words = __import__("re").findall(rb"[^\x20\x09-\x0D]+", bytes(c + 32 if 65 <= c <= 90 else c for c in raw or b""))
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[k : k + 3]), 42) for k in range(max(1, len(words) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_query_equals_brute_force_on_odd_rows(spark, tmp_out):
+    """Any separators, malformed UTF-8, fingerprints near zero and chains of near copies."""
+    rng = random.Random(6)
+    seps = [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x1c", b"\x85", b"\xc2\xa0", b"\xe3\x80\x80", b"\x00"]
+    words = [b"a", b"B", "É".encode(), "İ".encode(), "K".encode(), "😀".encode(), b"\xff", b"\xc3", b"\xed\xa0\x80", b"[", b"Z"]
+    raws = [None, b"", b" \t\n\r\x0b\x0c", b"\x1c", b"\xff", b"Same \xff TEXT here", b"same \xff text HERE"]
+    raws += [b"".join(rng.choice(words) + rng.choice(seps) for _ in range(n)) for n in range(1, 12) for _ in range(12)]
+    # Fingerprints of three bits, which links to texts without words, and of four.
+    raws += [b"p%d q%d r%d s%d" % (k, k, k, k) for k in (165570, 13418, 18947)]
+    assert [brute_byte_fingerprint(r).bit_count() for r in raws[-3:]] == [3, 4, 4]
+    base = [b"v%d" % rng.randrange(3000) for _ in range(300)]
+    for _ in range(60):
+        base[rng.randrange(300)] = b"v%d" % rng.randrange(3000)
+        raws.append(b" ".join(base))
+    ids = list(range(len(raws)))
+    rng.shuffle(ids)
+    rows = spark.createDataFrame([(i, r and bytearray(r)) for i, r in zip(ids, raws)], "doc_id long, raw binary")
+    rows.select("doc_id", F.col("raw").cast("string").alias("text")).write.parquet(f"{tmp_out}/documents.parquet")
+    points = [brute_byte_fingerprint(r) for r in raws]
+    groups = {}
+    for i, c in zip(ids, component := brute_components(points, 3)):
+        groups[c] = min(groups.get(c, i), i)
+    want = {(i, f"{p:016x}", groups[c]) for i, p, c in zip(ids, points, component)}
+    got = [tuple(r) for r in QUERIES["op9_simhash"](spark, tmp_out).collect()]
+    assert len(got) == len(raws) and set(got) == want
+
+
 # ---------------------------------------------------------------- decontamination
 
 
